@@ -14,7 +14,7 @@ from riskflow.functions import casts, ip, text, wire
 from riskflow.operators import clean, dims, faults, joins, quality, stats
 from riskflow.plans import anomaly, dds, dm, ods, publish, refresh
 from riskflow.schemas import ACTIVITY, CLIENTS, ENTITIES, LOGINS, PAYMENTS, TRANSACTIONS
-from riskflow.session import work_path
+from riskflow.session import materialize, work_path
 from riskflow.sources import readers, writers
 from riskflow.streaming import ingest
 
@@ -281,25 +281,29 @@ def dim_numbered_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.build_dim(table(spark, sf_dir, "customer"), "c_name", "name_id", "name", one_task_rows=0)
 
 
-# hot keys are cut at a size that the test tables reach, and nothing is broadcast
-_CUT = joins.Splits(rows_per_task=40, shuffle_only=True)
+# marts read stored facts, as in a refresh
+# hot keys are cut at a size that the test tables reach
+_CUT = joins.Splits(rows_per_task=40, always_cut=True)
 
 
 def _mart_activity(s: SparkSession, d: str, splits: joins.Splits = joins.Splits()) -> DataFrame:
     types = _types(s, d)
-    return dm.mart_activity_logins(_activity(s, d, types), types, _clients(s, d), _logins(s, d), splits)
+    activity = materialize(_activity(s, d, types), "activity")
+    clients, logins = materialize(_clients(s, d), "clients"), materialize(_logins(s, d), "logins")
+    return dm.mart_activity_logins(activity, types, clients, logins, splits)
 
 
 def _mart_transactions(s: SparkSession, d: str, splits: joins.Splits = joins.Splits()) -> DataFrame:
     currencies, kinds = _currencies(s, d), _kinds(s, d)
-    return dm.mart_transactions(_transactions(s, d, currencies, kinds), _clients(s, d), currencies, kinds, splits)
+    transactions = materialize(_transactions(s, d, currencies, kinds), "transactions")
+    return dm.mart_transactions(transactions, materialize(_clients(s, d), "clients"), currencies, kinds, splits)
 
 
 def _mart_payments(s: SparkSession, d: str, splits: joins.Splits = joins.Splits()) -> DataFrame:
     currencies, methods, kinds = _currencies(s, d), _methods(s, d), _kinds(s, d)
-    payments = _payments(s, d, currencies, methods)
-    transactions = _transactions(s, d, currencies, kinds)
-    return dm.mart_payments(payments, _clients(s, d), currencies, methods, transactions, splits)
+    payments = materialize(_payments(s, d, currencies, methods), "payments")
+    transactions = materialize(_transactions(s, d, currencies, kinds), "transactions")
+    return dm.mart_payments(payments, materialize(_clients(s, d), "clients"), currencies, methods, transactions, splits)
 
 
 _add("mart_activity_logins", lambda s, d: plain(_mart_activity(s, d)))

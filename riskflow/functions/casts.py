@@ -11,7 +11,6 @@ from riskflow.functions.ip import canonical_ip
 NUMBER_TEXT = r"^-?\d+(\.\d+)?\z"
 MONEY_TEXT = r"^\s*-?\d+(\.\d{1,2})?\s*\z"
 ISO_TEXT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?([+-]\d{2}:\d{2}|Z)?\z"
-ZONE_TEXT = r"([+-]\d{2}:\d{2}|Z)\z"
 MONEY_TYPE = "decimal(15,2)"
 
 
@@ -22,13 +21,16 @@ def _col(c: Column | str) -> Column:
 def safe_float(c: Column | str) -> Column:
     """A plain decimal number as double; anything else, and a number out of range, gives null."""
     c = _col(c)
-    value = F.when(c.rlike(NUMBER_TEXT), c.try_cast("double"))
-    return F.when(F.abs(value) < float("inf"), value)
+    number = c.try_cast("double")
+    for endless in (float("inf"), float("-inf")):
+        number = F.nullif(number, F.lit(endless))
+    return F.when(c.rlike(NUMBER_TEXT), number)
 
 
 def safe_id(c: Column | str) -> Column:
     """An id as bigint. Ids travel as floating text (``12.0``) and round half to even."""
-    return round_to_long(safe_float(c))
+    c = _col(c)
+    return F.when(c.rlike(NUMBER_TEXT), round_to_long(c.try_cast("double")))
 
 
 def round_to_long(c: Column | str) -> Column:
@@ -51,7 +53,8 @@ def safe_numeric(c: Column | str, strict: bool = True) -> Column:
 def safe_timestamp(c: Column | str, zone: str = "Z") -> Column:
     """An ISO date-time as timestamp; text without an offset is read in ``zone``."""
     c = _col(c)
-    zoned = F.when(c.rlike(ZONE_TEXT), c).otherwise(F.concat(c, F.lit(zone)))
+    has_zone = c.endswith("Z") | F.substring(c, -6, 1).isin("+", "-")
+    zoned = F.when(has_zone, c).otherwise(F.concat(c, F.lit(zone)))
     return F.when(c.rlike(ISO_TEXT), zoned.try_cast("timestamp"))
 
 

@@ -18,15 +18,15 @@ class Splits:
     A key with more than ``rows_per_task`` rows on a side is cut into that many pieces on this side, at most
     ``max_pieces``. Keys are looked for with a frequent-items sketch of ``tracked`` counters, which holds
     every key with more than a few ``tracked``-ths of the rows, and at most ``top`` of them are cut. These
-    numbers steer only the placement of rows, never the result. ``shuffle_only`` shuffles even where the right
-    side could be broadcast.
+    numbers steer only the placement of rows, never the result. ``always_cut`` cuts hot keys even where
+    the right side is small enough to broadcast.
     """
 
     rows_per_task: int = 5_000_000
     max_pieces: int = 512
     top: int = 64
     tracked: int = 8192
-    shuffle_only: bool = False
+    always_cut: bool = False
 
 
 def hot_keys(df: DataFrame, key: str, splits: Splits = Splits()) -> DataFrame:
@@ -36,22 +36,23 @@ def hot_keys(df: DataFrame, key: str, splits: Splits = Splits()) -> DataFrame:
     return found.select(F.explode("top").alias("t")).select("t.item", F.col("t.count").alias("n"))
 
 
-def _pieces(left: DataFrame, right: DataFrame, key: str, splits: Splits) -> Column:
-    """Scalar map: hot key -> (pieces of the left side, pieces of the right side)."""
+def hot_pieces(left: DataFrame, right: DataFrame, key: str, splits: Splits = Splits()) -> dict[object, tuple[int, int]]:
+    """Hot key -> (pieces of its left rows, pieces of its right rows); at most 2 * ``splits.top`` keys."""
+    pieces: dict[object, tuple[int, int]] = {}
+    for side, df in enumerate((left, right)):
+        for item, n in hot_keys(df, key, splits).collect():
+            count = min(-(-n // splits.rows_per_task), splits.max_pieces)
+            known = pieces.get(item, (1, 1))
+            pieces[item] = (count, known[1]) if side == 0 else (known[0], count)
+    return {item: counts for item, counts in pieces.items() if counts != (1, 1)}
 
-    def sized(df: DataFrame, side: str) -> DataFrame:
-        n = F.least(F.ceil(F.col("n") / splits.rows_per_task), F.lit(splits.max_pieces)).cast("int")
-        return hot_keys(df, key, splits).select("item", n.alias(side))
 
-    both = sized(left, "l").unionByName(sized(right, "r"), allowMissingColumns=True)
-    per_key = both.groupBy("item").agg(
-        F.coalesce(F.max("l"), F.lit(1)).alias("l"), F.coalesce(F.max("r"), F.lit(1)).alias("r")
-    )
-    cut = per_key.where("l > 1 or r > 1")
-    return cut.agg(F.map_from_entries(F.collect_list(F.struct("item", F.struct("l", "r"))))).scalar()
+def _pieces_of(key: str, pieces: dict[object, tuple[int, int]], side: int) -> Column:
+    by_key = F.create_map(*[F.lit(v) for item, counts in pieces.items() for v in (item, counts[side])])
+    return F.coalesce(F.try_element_at(by_key, F.col(key)), F.lit(1))
 
 
-def _spread(df: DataFrame, columns: Sequence[str], pieces: Column) -> Column:
+def _spread(columns: Sequence[str], pieces: Column) -> Column:
     # a hash of row values, not a random number: a task that is run again places its rows as before
     return F.pmod(F.xxhash64(*columns), pieces).cast("int")
 
@@ -74,28 +75,31 @@ def fan_out_join(
     When the right side is too large to broadcast, a hot key becomes a grid: its left rows are cut into
     pieces by a hash of ``left_spread`` and its right rows by a hash of ``right_spread``, and every pair of
     pieces meets in one task. All other keys keep one piece. Each input is shuffled once on (key, piece,
-    piece), which serves all joins. ``lookups`` must be unique on the key.
+    piece), which serves all joins. ``lookups`` must be unique on the key. Hot keys are found by a pass over
+    the key columns, so pass stored tables.
     """
-    if fits_broadcast(right) and not splits.shuffle_only:
+    if fits_broadcast(right) and not splits.always_cut:
         for side in lookups:
             left = unique_join(left, side, key, left_spread, splits)
         return left.join(right, key)
 
-    grid = _pieces(left, right, key, splits)
-    cell = F.try_element_at(grid, F.col(key))
-    left_pieces = F.coalesce(cell["l"], F.lit(1))
-    right_pieces = F.coalesce(cell["r"], F.lit(1))
-    keys = [key, "_lp", "_rp"]
+    pieces = hot_pieces(left, right, key, splits)
+    if not pieces:
+        for side in lookups:
+            left = left.join(side, key)
+        return left.join(right, key)
 
-    joined = left.select("*", _spread(left, left_spread, left_pieces).alias("_lp"), _copies(right_pieces).alias("_rp"))
-    small = [side for side in lookups if fits_broadcast(side)]
-    large = [side for side in lookups if not fits_broadcast(side)]
-    for side in large:
-        every_left = side.select("*", _copies(left_pieces).alias("_lp"))
-        joined = joined.join(every_left.select("*", _copies(right_pieces).alias("_rp")), keys)
-    for side in small:
-        joined = joined.join(side, key)
-    other = right.select("*", _copies(left_pieces).alias("_lp"), _spread(right, right_spread, right_pieces).alias("_rp"))
+    left_pieces, right_pieces = _pieces_of(key, pieces, 0), _pieces_of(key, pieces, 1)
+    keys = [key, "_lp", "_rp"]
+    joined = left.select("*", _spread(left_spread, left_pieces).alias("_lp"), _copies(right_pieces).alias("_rp"))
+    for side in lookups:
+        if fits_broadcast(side):
+            joined = joined.join(side, key)
+        else:
+            every_left = side.select("*", _copies(left_pieces).alias("_lp"))
+            joined = joined.join(every_left.select("*", _copies(right_pieces).alias("_rp")), keys)
+    every_left = right.select("*", _copies(left_pieces).alias("_lp"))
+    other = every_left.withColumn("_rp", _spread(right_spread, right_pieces))
     return joined.join(other, keys).drop("_lp", "_rp")
 
 
@@ -103,6 +107,6 @@ def unique_join(
     left: DataFrame, right: DataFrame, key: str, left_spread: Sequence[str], splits: Splits = Splits()
 ) -> DataFrame:
     """Inner join with a right side that is unique on ``key``; left rows of hot keys are cut into pieces."""
-    if fits_broadcast(right) and not splits.shuffle_only:
+    if fits_broadcast(right) and not splits.always_cut:
         return left.join(right, key)
     return fan_out_join(left, right, key, left_spread, [key], splits=splits)
