@@ -14,7 +14,7 @@ from riskflow.functions import casts, ip, text, wire
 from riskflow.operators import clean, dims, faults, joins, quality, stats
 from riskflow.plans import anomaly, dds, dm, ods, publish, refresh
 from riskflow.schemas import ACTIVITY, CLIENTS, ENTITIES, LOGINS, PAYMENTS, TRANSACTIONS
-from riskflow.session import materialize, work_path
+from riskflow.session import materialize, together, work_path
 from riskflow.sources import readers, writers
 from riskflow.streaming import ingest
 
@@ -228,51 +228,55 @@ for _name in _ODS:
     _add(_name, lambda s, d, n=_name: plain(_typed(s, d, n)))
 
 
-def _clients(s: SparkSession, d: str) -> DataFrame:
-    return dds.dds_clients(_typed(s, d, "ods_clients"))
+# As in a refresh, each layer is stored before the next one reads it.
 
 
-def _types(s: SparkSession, d: str) -> DataFrame:
-    return dds.dim_activity_types(_typed(s, d, "ods_activity"))
+def _stored(s: SparkSession, d: str, name: str) -> DataFrame:
+    return materialize(_typed(s, d, name), name)
 
 
-def _currencies(s: SparkSession, d: str) -> DataFrame:
-    return dds.dim_currencies(_typed(s, d, "ods_payments"))
+def _activity_star(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Activity types, activity."""
+    typed = _stored(s, d, "ods_activity")
+    types = dds.dim_activity_types(typed)
+    return types, dds.fact_activity(typed, types)
 
 
-def _methods(s: SparkSession, d: str) -> DataFrame:
-    return dds.dim_payment_methods(_typed(s, d, "ods_payments"))
+def _payment_star(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Currencies, payment methods, payments."""
+    typed = _stored(s, d, "ods_payments")
+    currencies, methods = dds.dim_currencies(typed), dds.dim_payment_methods(typed)
+    return currencies, methods, dds.fact_payments(typed, currencies, methods)
 
 
-def _kinds(s: SparkSession, d: str) -> DataFrame:
-    return dds.dim_transaction_types(_typed(s, d, "ods_transactions"))
+def _transaction_star(s: SparkSession, d: str, currencies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Transaction types, transactions."""
+    typed = _stored(s, d, "ods_transactions")
+    kinds = dds.dim_transaction_types(typed)
+    return kinds, dds.fact_transactions(typed, currencies, kinds, ORDER_BOUNDS)
 
 
-def _activity(s: SparkSession, d: str, types: DataFrame) -> DataFrame:
-    return dds.fact_activity(_typed(s, d, "ods_activity"), types)
+def _clients(s: SparkSession, d: str) -> DataFrame:
+    return dds.dds_clients(_stored(s, d, "ods_clients"))
 
 
 def _logins(s: SparkSession, d: str) -> DataFrame:
-    return dds.fact_logins(_typed(s, d, "ods_logins"), ORDER_BOUNDS)
-
-
-def _payments(s: SparkSession, d: str, currencies: DataFrame, methods: DataFrame) -> DataFrame:
-    return dds.fact_payments(_typed(s, d, "ods_payments"), currencies, methods)
+    return dds.fact_logins(_stored(s, d, "ods_logins"), ORDER_BOUNDS)
 
 
-def _transactions(s: SparkSession, d: str, currencies: DataFrame, kinds: DataFrame) -> DataFrame:
-    return dds.fact_transactions(_typed(s, d, "ods_transactions"), currencies, kinds, ORDER_BOUNDS)
+def _currencies(s: SparkSession, d: str) -> DataFrame:
+    return dds.dim_currencies(_typed(s, d, "ods_payments"))
 
 
 _add("dds_clients", lambda s, d: plain(_clients(s, d)))
-_add("dim_activity_type", _types)
+_add("dim_activity_type", lambda s, d: dds.dim_activity_types(_typed(s, d, "ods_activity")))
 _add("dim_currency", _currencies)
-_add("dim_payment_method", _methods)
-_add("dim_transaction_type", _kinds)
-_add("fact_activity", lambda s, d: plain(_activity(s, d, _types(s, d))))
+_add("dim_payment_method", lambda s, d: dds.dim_payment_methods(_typed(s, d, "ods_payments")))
+_add("dim_transaction_type", lambda s, d: dds.dim_transaction_types(_typed(s, d, "ods_transactions")))
+_add("fact_activity", lambda s, d: plain(_activity_star(s, d)[-1]))
 _add("fact_login", lambda s, d: plain(_logins(s, d)))
-_add("fact_payment", lambda s, d: plain(_payments(s, d, _currencies(s, d), _methods(s, d))))
-_add("fact_transaction", lambda s, d: plain(_transactions(s, d, _currencies(s, d), _kinds(s, d))))
+_add("fact_payment", lambda s, d: plain(_payment_star(s, d)[-1]))
+_add("fact_transaction", lambda s, d: plain(_transaction_star(s, d, _currencies(s, d))[-1]))
 
 
 @_query
@@ -281,29 +285,51 @@ def dim_numbered_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.build_dim(table(spark, sf_dir, "customer"), "c_name", "name_id", "name", one_task_rows=0)
 
 
-# marts read stored facts, as in a refresh
 # hot keys are cut at a size that the test tables reach
 _CUT = joins.Splits(rows_per_task=40, always_cut=True)
 
 
+def _fact(name: str, build: Callable[[], tuple[DataFrame, ...]]) -> tuple[DataFrame, ...]:
+    *dimensions, fact = build()
+    return (*dimensions, materialize(fact, name))
+
+
 def _mart_activity(s: SparkSession, d: str, splits: joins.Splits = joins.Splits()) -> DataFrame:
-    types = _types(s, d)
-    activity = materialize(_activity(s, d, types), "activity")
-    clients, logins = materialize(_clients(s, d), "clients"), materialize(_logins(s, d), "logins")
-    return dm.mart_activity_logins(activity, types, clients, logins, splits)
+    parts = together(
+        {
+            "activity": lambda: _fact("activity", lambda: _activity_star(s, d)),
+            "clients": lambda: materialize(_clients(s, d), "clients"),
+            "logins": lambda: materialize(_logins(s, d), "logins"),
+        }
+    )
+    types, activity = parts["activity"]
+    return dm.mart_activity_logins(activity, types, parts["clients"], parts["logins"], splits)
 
 
 def _mart_transactions(s: SparkSession, d: str, splits: joins.Splits = joins.Splits()) -> DataFrame:
-    currencies, kinds = _currencies(s, d), _kinds(s, d)
-    transactions = materialize(_transactions(s, d, currencies, kinds), "transactions")
-    return dm.mart_transactions(transactions, materialize(_clients(s, d), "clients"), currencies, kinds, splits)
+    currencies = _currencies(s, d)
+    parts = together(
+        {
+            "transactions": lambda: _fact("transactions", lambda: _transaction_star(s, d, currencies)),
+            "clients": lambda: materialize(_clients(s, d), "clients"),
+        }
+    )
+    kinds, transactions = parts["transactions"]
+    return dm.mart_transactions(transactions, parts["clients"], currencies, kinds, splits)
 
 
 def _mart_payments(s: SparkSession, d: str, splits: joins.Splits = joins.Splits()) -> DataFrame:
-    currencies, methods, kinds = _currencies(s, d), _methods(s, d), _kinds(s, d)
-    payments = materialize(_payments(s, d, currencies, methods), "payments")
-    transactions = materialize(_transactions(s, d, currencies, kinds), "transactions")
-    return dm.mart_payments(payments, materialize(_clients(s, d), "clients"), currencies, methods, transactions, splits)
+    currencies = _currencies(s, d)
+    parts = together(
+        {
+            "payments": lambda: _fact("payments", lambda: _payment_star(s, d)),
+            "transactions": lambda: _fact("transactions", lambda: _transaction_star(s, d, currencies)),
+            "clients": lambda: materialize(_clients(s, d), "clients"),
+        }
+    )
+    _, methods, payments = parts["payments"]
+    transactions = parts["transactions"][-1]
+    return dm.mart_payments(payments, parts["clients"], currencies, methods, transactions, splits)
 
 
 _add("mart_activity_logins", lambda s, d: plain(_mart_activity(s, d)))
@@ -312,12 +338,21 @@ _add("mart_payments", lambda s, d: plain(_mart_payments(s, d)))
 _add("mart_activity_logins_cut", lambda s, d: plain(_mart_activity(s, d, _CUT)))
 _add("mart_transactions_cut", lambda s, d: plain(_mart_transactions(s, d, _CUT)))
 _add("mart_payments_cut", lambda s, d: plain(_mart_payments(s, d, _CUT)))
-_add("publish_activity", lambda s, d: plain(publish.publish_activity(_mart_activity(s, d), work_path(s, "activity"))))
-_add(
-    "publish_transactions",
-    lambda s, d: plain(publish.publish_transactions(_mart_transactions(s, d), work_path(s, "transactions"))),
-)
-_add("publish_payments", lambda s, d: plain(publish.publish_payments(_mart_payments(s, d), work_path(s, "payments"))))
+
+_PUBLISHED = {
+    "publish_activity": (_mart_activity, publish.publish_activity),
+    "publish_transactions": (_mart_transactions, publish.publish_transactions),
+    "publish_payments": (_mart_payments, publish.publish_payments),
+}
+
+
+def _published(s: SparkSession, d: str, name: str) -> DataFrame:
+    build, store = _PUBLISHED[name]
+    return plain(store(materialize(build(s, d), "mart"), work_path(s, name)))
+
+
+for _name in _PUBLISHED:
+    _add(_name, lambda s, d, n=_name: _published(s, d, n))
 
 
 def _refreshed(s: SparkSession, d: str) -> DataFrame:

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 # Fixed value: four octets of one to three digits, each at most 255.
 _OCTET = r"(25[0-5]|2[0-4]\d|[01]?\d?\d)"
 IPV4_TEXT = rf"^({_OCTET}\.){{3}}{_OCTET}\z"
+LEADING_ZERO = r"(^|\.)0\d"
 
 
 def _octets(c: Column) -> list[Column]:
-    return [F.split_part(c, F.lit("."), F.lit(i)).try_cast("bigint") for i in (1, 2, 3, 4)]
+    # cutting text at dots is several times faster here than splitting it into an array
+    return [F.substring_index(F.substring_index(c, ".", i), ".", -1).try_cast("bigint") for i in (1, 2, 3, 4)]
 
 
 def is_valid_ip(c: Column | str) -> Column:
@@ -31,4 +33,5 @@ def ip_to_long(c: Column | str) -> Column:
 def canonical_ip(c: Column | str) -> Column:
     """The address without leading zeros, null where it is not valid."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(is_valid_ip(c), F.concat_ws(".", *[o.cast("string") for o in _octets(c)]))
+    rebuilt = F.concat_ws(".", *[o.cast("string") for o in _octets(c)])
+    return F.when(is_valid_ip(c), F.when(c.rlike(LEADING_ZERO), rebuilt).otherwise(c))

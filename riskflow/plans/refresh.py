@@ -6,89 +6,100 @@ choice between broadcast and shuffle joins.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
 from riskflow.operators.joins import Splits
 from riskflow.plans import dds, dm, ods, publish
 from riskflow.schemas import DATE_BOUNDS
+from riskflow.session import together
 from riskflow.sources.writers import write_refresh
 
 Tables = dict[str, DataFrame]
 
 
+def _store(root: str, loads: Mapping[str, Callable[[], DataFrame]]) -> Tables:
+    """Build and write independent tables at the same time."""
+    return together({name: lambda n=name, b=build: write_refresh(b(), f"{root}/{n}") for name, build in loads.items()})
+
+
 def refresh_ods(raw: Mapping[str, DataFrame], root: str, strict: bool = True) -> Tables:
     """``raw`` maps clients, clients_activity, logins, payments and transactions to text tables."""
-    typed = {
-        "clients": ods.ods_clients(raw["clients"]),
-        "clients_activity": ods.ods_activity(raw["clients_activity"]),
-        "logins": ods.ods_logins(raw["logins"]),
-        "payments": ods.ods_payments(raw["payments"], strict),
-        "transactions": ods.ods_transactions(raw["transactions"], strict),
-    }
-    return {name: write_refresh(df, f"{root}/ods/{name}") for name, df in typed.items()}
+    return _store(
+        f"{root}/ods",
+        {
+            "clients": lambda: ods.ods_clients(raw["clients"]),
+            "clients_activity": lambda: ods.ods_activity(raw["clients_activity"]),
+            "logins": lambda: ods.ods_logins(raw["logins"]),
+            "payments": lambda: ods.ods_payments(raw["payments"], strict),
+            "transactions": lambda: ods.ods_transactions(raw["transactions"], strict),
+        },
+    )
 
 
 def refresh_dds(
     typed: Mapping[str, DataFrame], root: str, bounds: Mapping[str, tuple[str, str]] | None = None
 ) -> Tables:
-    """Dimensions before facts. ``bounds`` replaces the date range of single facts."""
-    limits = {n: DATE_BOUNDS for n in ("clients_activity", "logins", "payments", "transactions")} | dict(bounds or {})
+    """Dimensions before facts. ``bounds`` replaces the date range of single facts.
 
-    def store(name: str, df: DataFrame) -> DataFrame:
-        return write_refresh(df, f"{root}/dds/{name}")
-
-    out: Tables = {"clients": store("clients", dds.dds_clients(typed["clients"]))}
-    out["activity_types"] = store("activity_types", dds.dim_activity_types(typed["clients_activity"]))
-    out["currencies"] = store("currencies", dds.dim_currencies(typed["payments"]))
-    out["payment_methods"] = store("payment_methods", dds.dim_payment_methods(typed["payments"]))
-    out["transaction_types"] = store("transaction_types", dds.dim_transaction_types(typed["transactions"]))
-    # keep_one leaves each fact hash-distributed by its key, so no further shuffle is needed for the layout
-    out["clients_activity"] = store(
-        "clients_activity",
-        dds.fact_activity(typed["clients_activity"], out["activity_types"], limits["clients_activity"]),
-    )
-    out["logins"] = store("logins", dds.fact_logins(typed["logins"], limits["logins"]))
-    out["payments"] = store(
-        "payments",
-        dds.fact_payments(typed["payments"], out["currencies"], out["payment_methods"], limits["payments"]),
+    A fact is written as it leaves its key deduplication, hash-distributed by its key, without a further
+    shuffle for the layout.
+    """
+    limits = {n: DATE_BOUNDS for n in ("clients_activity", "logins", "payments", "transactions")} | dict(bounds or {})
+    dims = _store(
+        f"{root}/dds",
+        {
+            "clients": lambda: dds.dds_clients(typed["clients"]),
+            "activity_types": lambda: dds.dim_activity_types(typed["clients_activity"]),
+            "currencies": lambda: dds.dim_currencies(typed["payments"]),
+            "payment_methods": lambda: dds.dim_payment_methods(typed["payments"]),
+            "transaction_types": lambda: dds.dim_transaction_types(typed["transactions"]),
+        },
     )
-    out["transactions"] = store(
-        "transactions",
-        dds.fact_transactions(
-            typed["transactions"], out["currencies"], out["transaction_types"], limits["transactions"]
-        ),
+    facts = _store(
+        f"{root}/dds",
+        {
+            "clients_activity": lambda: dds.fact_activity(
+                typed["clients_activity"], dims["activity_types"], limits["clients_activity"]
+            ),
+            "logins": lambda: dds.fact_logins(typed["logins"], limits["logins"]),
+            "payments": lambda: dds.fact_payments(
+                typed["payments"], dims["currencies"], dims["payment_methods"], limits["payments"]
+            ),
+            "transactions": lambda: dds.fact_transactions(
+                typed["transactions"], dims["currencies"], dims["transaction_types"], limits["transactions"]
+            ),
+        },
     )
-    return out
+    return dims | facts
 
 
 def refresh_dm(star: Mapping[str, DataFrame], root: str, splits: Splits = Splits()) -> Tables:
-    marts = {
-        "activity_logins": dm.mart_activity_logins(
-            star["clients_activity"], star["activity_types"], star["clients"], star["logins"], splits
-        ),
-        "transactions": dm.mart_transactions(
-            star["transactions"], star["clients"], star["currencies"], star["transaction_types"], splits
-        ),
-        "payments": dm.mart_payments(
-            star["payments"],
-            star["clients"],
-            star["currencies"],
-            star["payment_methods"],
-            star["transactions"],
-            splits,
-        ),
-    }
-    return {name: write_refresh(df, f"{root}/dm/{name}") for name, df in marts.items()}
+    clients, currencies = star["clients"], star["currencies"]
+    return _store(
+        f"{root}/dm",
+        {
+            "activity_logins": lambda: dm.mart_activity_logins(
+                star["clients_activity"], star["activity_types"], clients, star["logins"], splits
+            ),
+            "transactions": lambda: dm.mart_transactions(
+                star["transactions"], clients, currencies, star["transaction_types"], splits
+            ),
+            "payments": lambda: dm.mart_payments(
+                star["payments"], clients, currencies, star["payment_methods"], star["transactions"], splits
+            ),
+        },
+    )
 
 
 def refresh_published(marts: Mapping[str, DataFrame], root: str) -> Tables:
-    return {
-        "activity_logins": publish.publish_activity(marts["activity_logins"], f"{root}/published/activity_logins"),
-        "transactions": publish.publish_transactions(marts["transactions"], f"{root}/published/transactions"),
-        "payments": publish.publish_payments(marts["payments"], f"{root}/published/payments"),
+    loads = {
+        "activity_logins": publish.publish_activity,
+        "transactions": publish.publish_transactions,
+        "payments": publish.publish_payments,
     }
+    return together({n: lambda n=n, load=load: load(marts[n], f"{root}/published/{n}") for n, load in loads.items()})
 
 
 def refresh_all(

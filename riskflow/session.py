@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,3 +67,10 @@ def fits_broadcast(df: DataFrame) -> bool:
     limit = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
     estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return estimate <= limit
+
+
+def together[T](jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent loads at the same time, so that the last tasks of one do not leave executors idle."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,13 +64,26 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
     return df.sparkSession.table(table)
 
 
-def write_sorted(df: DataFrame, path: str, key: str, partitions: int | None = None) -> DataFrame:
-    """Replace the table at ``path`` with files that cover disjoint ranges of ``key`` and are sorted by it.
+def sort_ranges(
+    df: DataFrame, key: str, partitions: int | None = None, spread: Sequence[str] | None = None
+) -> DataFrame:
+    """Partitions that cover disjoint ranges of ``key``, each sorted by it.
 
-    Readers skip files and row groups by their key range. Rows of one key are cut into pieces by a hash of
-    the row and of the task that produced it, so neither a hot key nor a group of copies fills one file.
+    Rows of one key are cut into pieces by a hash of the ``spread`` columns (by default all) and of the task
+    that read the row, so neither a hot key nor a group of copies fills one partition. Finding the ranges takes a pass over ``df``, so pass a
+    stored table and compute further columns afterwards.
     """
-    piece = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(PIECES))
+    piece = F.pmod(F.xxhash64(*(spread or df.columns), F.spark_partition_id()), F.lit(PIECES))
     count = [partitions] if partitions else []  # without a number, adaptive execution may merge small ranges
     ranged = df.withColumn("_piece", piece).repartitionByRange(*count, key, "_piece")
-    return write_refresh(ranged.sortWithinPartitions(key, "_piece").drop("_piece"), path)
+    return ranged.sortWithinPartitions(key, "_piece").drop("_piece")
+
+
+def write_sorted(
+    df: DataFrame, path: str, key: str, partitions: int | None = None, spread: Sequence[str] | None = None
+) -> DataFrame:
+    """Replace the table at ``path`` with files that cover disjoint ranges of ``key`` and are sorted by it.
+
+    Readers skip files and row groups by their key range.
+    """
+    return write_refresh(sort_ranges(df, key, partitions, spread), path)
