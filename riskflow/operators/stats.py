@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from fractions import Fraction
 from functools import reduce
-from itertools import accumulate, pairwise
 from math import floor
-from operator import add
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,10 +48,11 @@ def exact_quantiles(
 
     A table of at most ``one_task_rows`` rows is left to the built-in percentile. For a larger one:
 
-    1. A quantile sketch gives cut points close below and above each wanted quantile.
-    2. The values between, and the values equal to, the cut points are counted exactly.
-    3. Only the stretches that hold a wanted rank, a few ``accuracy``-ths of the rows, are ordered.
-    The sketch decides how much is ordered in step 3, never the result. ``df`` is read three times, each
+    1. A quantile sketch gives cut values close below and above each wanted quantile.
+    2. The rows below and up to each cut value are counted exactly. A rank that falls on a cut value is found.
+    3. For the others, the gap between two cut values that holds the rank, a few ``accuracy``-ths of the rows,
+       is ordered.
+    The sketch decides how much is ordered in step 3, never the result. ``df`` is read up to four times, each
     time giving one row of fixed width to the driver; pass a written table.
     """
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
@@ -61,50 +61,67 @@ def exact_quantiles(
         return {c: row[c] or [None] * len(probabilities) for c in columns}
     margin = 2.0 / accuracy
     near = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)})
-    cuts = values.agg(*[F.percentile_approx(c, near, accuracy).alias(c) for c in columns]).first()
-    columns_with_values = [c for c in columns if cuts[c] is not None]
-    if not columns_with_values:
-        return {c: [None] * len(probabilities) for c in columns}
-
-    def stretch(c: str) -> Column:
-        # a value equal to a cut point has a stretch of its own
-        steps = [(F.col(c) >= cut).cast("int") + (F.col(c) > cut).cast("int") for cut in sorted(set(cuts[c]))]
-        return reduce(add, steps)
-
-    tallies = []
-    for c in columns_with_values:
-        numbers = range(2 * len(set(cuts[c])) + 1)
-        tallies.append(F.array(*[F.count_if(stretch(c) == s) for s in numbers]).alias(c))
-    sizes = values.agg(*tallies).first()
-
-    wanted, slices = {}, []
-    for c in columns_with_values:
-        starts = [0, *accumulate(sizes[c])]
-        ranks = [Fraction(p).limit_denominator(10**9) * (starts[-1] - 1) for p in probabilities]
-        wanted[c] = [(floor(r), float(r - floor(r))) for r in ranks]
-        needed = {low + step for low, _ in wanted[c] for step in (0, 1)}
-        for s, (start, end) in enumerate(pairwise(starts)):
-            if any(start <= rank < end for rank in needed):
-                entry = F.struct(F.lit(c).alias("c"), F.lit(start).cast("bigint").alias("start"), F.col(c).alias("v"))
-                slices.append(F.when(stretch(c) == s, entry))
-    kept = values.select(F.explode(F.array_compact(F.array(*slices))).alias("e")).select("e.*")
-    tallied = kept.groupBy("c", "start", "v").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("c", "start").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = tallied.select("c", "v", (F.col("start") + F.sum("n").over(order)).alias("upto"))
+    sketch = values.agg(*[F.percentile_approx(c, near, accuracy).alias(c) for c in columns]).first()
+    cuts = {c: sorted(set(sketch[c] or [])) for c in columns}
+
+    tallies = [F.count(c).alias(f"{c}.all") for c in columns]
+    for c in columns:
+        for i, cut in enumerate(cuts[c]):
+            tallies += [F.count_if(F.col(c) < cut).alias(f"{c}.below.{i}")]
+            tallies += [F.count_if(F.col(c) <= cut).alias(f"{c}.upto.{i}")]
+    counted = values.agg(*tallies).first().asDict()
+
+    # rank -> value where known, else gap (low end, high end, rows up to the low end) -> ranks
+    known: dict[tuple[str, int], float] = {}
+    gaps: dict[tuple[str, float, float, int], set[int]] = {}
+    places: dict[str, list[tuple[int, float]]] = {}
+    for c in columns:
+        total = counted[f"{c}.all"]
+        ranks = [Fraction(p).limit_denominator(10**9) * (total - 1) for p in probabilities] if total else []
+        places[c] = [(floor(r), float(r - floor(r))) for r in ranks]
+        for rank in {r for low, _ in places[c] for r in (low, min(low + 1, total - 1))}:
+            low, before = float("-inf"), 0
+            for i, cut in enumerate(cuts[c]):
+                if rank < counted[f"{c}.below.{i}"]:
+                    gaps.setdefault((c, low, cut, before), set()).add(rank)
+                    break
+                low, before = cut, counted[f"{c}.upto.{i}"]
+                if rank < before:
+                    known[c, rank] = cut
+                    break
+            else:
+                gaps.setdefault((c, low, float("inf"), before), set()).add(rank)
+    if gaps:
+        known |= _ordered_ranks(values, gaps)
+
+    result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
+    for c in columns:
+        for i, (low, part) in enumerate(places[c]):
+            at = known[c, low]
+            result[c][i] = at + part * (known.get((c, low + 1), at) - at)
+    return result
+
+
+def _ordered_ranks(
+    values: DataFrame, gaps: dict[tuple[str, float, float, int], set[int]]
+) -> dict[tuple[str, int], float]:
+    """The values at the wanted ranks within narrow gaps of the columns, ordered one gap per task."""
+    inside = [(F.col(c) > low) & (F.col(c) < high) for c, low, high, _ in gaps]
+    entries = [
+        F.when(within, F.struct(F.lit(g).alias("gap"), F.col(c).alias("v")))
+        for g, (within, (c, *_)) in enumerate(zip(inside, gaps))
+    ]
+    rows = values.where(reduce(or_, inside)).select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+    tallied = rows.groupBy("e.gap", "e.v").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("gap").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = tallied.select("gap", "v", F.sum("n").over(order).alias("upto"))
+    wanted = [(g, c, before, rank) for g, ((c, _, _, before), ranks) in enumerate(gaps.items()) for rank in ranks]
     picked = [
-        F.min(F.when((F.col("c") == c) & (F.col("upto") > low + step), F.col("v"))).alias(f"{c}.{i}.{step}")
-        for c, places in wanted.items()
-        for i, (low, _) in enumerate(places)
-        for step in (0, 1)
+        F.min(F.when((F.col("gap") == g) & (F.col("upto") > rank - before), F.col("v"))).alias(f"{g}.{rank}")
+        for g, _, before, rank in wanted
     ]
     found = ranked.agg(*picked).first()
-
-    result = {c: [None] * len(probabilities) for c in columns}
-    for c, places in wanted.items():
-        for i, (_, part) in enumerate(places):
-            at, above = found[f"{c}.{i}.0"], found[f"{c}.{i}.1"]
-            result[c][i] = at if above is None else at + part * (above - at)
-    return result
+    return {(c, rank): found[f"{g}.{rank}"] for g, c, _, rank in wanted}
 
 
 def approx_quantiles(
