@@ -157,8 +157,11 @@ _CTES: dict[str, str] = {
 }
 
 
-def _with_layers(body: str) -> str:
-    """Prefix the layers that ``body`` uses, directly or through others, in dependency order."""
+def _with_layers(body: str, keyed: bool = False) -> str:
+    """Prefix the layers that ``body`` uses, directly or through others, in dependency order.
+
+    ``keyed`` leaves out rows without a client, as an ingest of messages does.
+    """
     used: list[str] = []
 
     def visit(sql: str) -> None:
@@ -171,7 +174,9 @@ def _with_layers(body: str) -> str:
     visit(body)
     if not used:
         return body
-    ctes = ",\n".join(f"{name} AS ({_CTES[name]})" for name in used)
+    keep = " WHERE client_id <> 'NaN'" if keyed else ""
+    sources = {n: f"SELECT * FROM ({_CTES[n]}){keep}" for n in used if n.startswith("raw_")}
+    ctes = ",\n".join(f"{name} AS ({sources.get(name, _CTES[name])})" for name in used)
     return f"WITH {ctes}\n{body}"
 
 
@@ -438,4 +443,5 @@ def _bodies() -> dict[str, str]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {name: _with_layers(body) for name, body in _bodies().items()}
+    oracles = {name: _with_layers(body) for name, body in _bodies().items()}
+    return oracles | {"messages_to_zscore_global": _with_layers(_zscore_global(_MART), keyed=True)}

@@ -505,6 +505,16 @@ def stream_to_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(ods.ods_transactions(readers.read_text_csv(spark, path, TRANSACTIONS)))
 
 
+@_query
+def messages_to_zscore_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole way of all entities: message streams, text, typed, star, marts, flagged client days."""
+    root = work_path(spark, "all")
+    raw_text = ingest.raw_from_messages(spark, {e: _messages(spark, sf_dir, e) for e in ENTITIES}, root)
+    bounds = {"logins": ORDER_BOUNDS, "transactions": ORDER_BOUNDS}
+    marts = refresh.refresh_all(raw_text, root, bounds=bounds)["published"]
+    return plain(anomaly.zscore_global(anomaly.daily_profile(marts["transactions"])))
+
+
 # --- checks -------------------------------------------------------------------------------------------------
 
 

@@ -29,7 +29,8 @@ def decode_messages(df: DataFrame, schema: T.StructType, value: str = "raw_data"
     """Parse the JSON column and flatten its fields; where the column is absent the rows are flat already."""
     if value not in df.columns:
         return df.select(*[f.name for f in schema.fields])
-    return df.select(F.from_json(F.col(value), schema).alias("message")).select("message.*")
+    # inline, because a filter on a field would else be pushed below the parse and parse every message again
+    return df.select(F.inline(F.array(F.from_json(F.col(value), schema))))
 
 
 def typed_columns(schema: T.StructType) -> list[Column]:

@@ -69,7 +69,7 @@ def relevant_columns(df: DataFrame, client: str, at: str, amount: str) -> DataFr
     A missing id is dropped before it becomes text: as text, NaN would form one huge pseudo client.
     """
     whole = F.col(client).try_cast("bigint")
-    cut = df.select(
+    cut = require(df, [client, at, amount]).select(
         whole.alias("client_id"),
         F.to_date(at).alias("transaction_date"),
         F.col(amount).cast("double").alias("amount"),

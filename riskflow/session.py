@@ -41,10 +41,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; it is removed when the application ends."""
-    path = f"{shared_folder(spark)}/riskflow-{uuid.uuid4().hex}/{name}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return path
+    folder = f"{shared_folder(spark)}/riskflow-{uuid.uuid4().hex}"
+    jvm_folder = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = jvm_folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(jvm_folder)  # only a folder that is there can be marked for removal
+    files.deleteOnExit(jvm_folder)
+    return f"{folder}/{name}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

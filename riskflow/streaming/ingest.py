@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from riskflow.functions.wire import decode_messages, typed_columns
 from riskflow.operators.clean import drop_missing_key
-from riskflow.schemas import Entity
-from riskflow.sources.readers import message_text, read_json
+from riskflow.schemas import ENTITIES, Entity
+from riskflow.session import together
+from riskflow.sources.readers import message_text, read_json, read_text_csv
 from riskflow.sources.writers import write_csv
 
 # Fixed value: a landing run takes at most this many seconds.
@@ -53,3 +56,16 @@ def ingest_to_csv(spark: SparkSession, messages: DataFrame, entity: Entity, root
     path = f"{root}/{entity.name}/csv_files"
     write_csv(ingest(spark, messages, entity, root), path)
     return path
+
+
+def raw_from_messages(spark: SparkSession, messages: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Ingest the streams of all entities at the same time and expose the results as text tables.
+
+    The text tables are the input of a refresh.
+    """
+
+    def load(name: str) -> DataFrame:
+        path = ingest_to_csv(spark, messages[name], ENTITIES[name], root)
+        return read_text_csv(spark, f"{path}/*.csv", ENTITIES[name])
+
+    return together({name: lambda n=name: load(n) for name in messages})
