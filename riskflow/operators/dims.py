@@ -23,12 +23,12 @@ def dimension_names(df: DataFrame, column: str, name: str, header: str | None =
 
 
 def number_rows(df: DataFrame, order: Sequence[str], key: str, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    """Add a dense 1-based ``key`` in the order of the (unique) ``order`` columns.
+    """Add a dense 1-based ``key`` in the order of the (unique) ``order`` columns of a stored table.
 
     A small table is numbered by one window. A larger one is sorted into ranges, written, and each row gets
     its position within its range plus the size of the ranges before it; no task holds more than one range.
     """
-    if df.limit(one_task_rows + 1).count() <= one_task_rows:
+    if df.count() <= one_task_rows:
         position = F.row_number().over(Window.orderBy(*order)).cast("int")
         return df.select(position.alias(key), *df.columns)
     ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -56,9 +56,11 @@ def write_distributed(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
     """Replace a catalog table that is bucketed by ``key``, for joins without a shuffle.
 
-    A bucket is read by one task, so this suits keys without hot values; see ``fan_out_join`` for others.
+    Rows come to the writers one bucket per partition, so a bucket is one file; adaptive execution cuts a
+    bucket that a hot key makes too large into several. A join reads a bucket in one task, so for keys with
+    hot values use ``fan_out_join``, which does not rely on buckets.
     """
-    spread = df.repartition(buckets, key)
+    spread = df.hint("rebalance", buckets, key)
     writer = spread.write.mode("overwrite").format("parquet").option("compression", COMPRESSION)
     writer.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
     return df.sparkSession.table(table)

@@ -5,11 +5,13 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from checks.standins import ORDER_BOUNDS, raw_tables
 from riskflow.operators.joins import Splits
 from riskflow.plans import refresh
+from riskflow.plans.dds import fact_logins
 from riskflow.plans.ods import ods_transactions
 from riskflow.schemas import CLIENTS, ENTITIES, PAYMENTS, TRANSACTIONS
 from riskflow.session import work_path
@@ -44,8 +46,6 @@ def test_refresh_twice_gives_the_same_tables(spark, small, tmp_path):
 
 def test_facts_read_only_what_the_bounds_allow(spark, small, tmp_path):
     typed = refresh.refresh_ods(raw_tables(spark, small), str(tmp_path))
-    from riskflow.plans.dds import fact_logins
-
     plan = fact_logins(typed["logins"], ORDER_BOUNDS)._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(login_date" in plan and "IsNotNull(client_id)" in plan
 
@@ -112,6 +112,20 @@ def test_bucketed_tables_join_without_a_shuffle(spark, small, tmp_path):
     spark.sql("DROP TABLE bucketed_b")
 
 
+def test_a_hot_bucket_is_written_by_several_tasks(spark, tmp_path):
+    df = spark.range(200_000).selectExpr("if(id % 3 = 0, 7, id % 5000) AS k", "uuid() AS v")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        stored = writers.write_bucketed(df, "bucketed_hot", str(tmp_path / "t"), "k", 8)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert stored.count() == 200_000
+    files = stored.select("k", F.input_file_name().alias("f")).distinct().groupBy("k").agg(F.count("*").alias("n"))
+    assert files.where("k = 7").first().n > 1
+    assert files.where("n = 1").count() > 5000 / 2
+    spark.sql("DROP TABLE bucketed_hot")
+
+
 def test_reading_an_empty_folder_falls_back(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     rows = readers.read_json_inferred(spark, str(tmp_path / "empty"), PAYMENTS.wire_schema)
@@ -129,6 +143,13 @@ def test_jdbc_arguments_reach_the_reader(spark):
         readers.read_table(spark, source)
 
 
+def test_kafka_needs_its_connector(spark):
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        readers.kafka_messages(spark, "broker:9092", "transactions", maxOffsetsPerTrigger="1000")
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        writers.write_kafka(spark.range(1), "broker:9092", "transactions")
+
+
 def test_work_folder_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     path = work_path(spark, "t")
