@@ -23,7 +23,7 @@ class Splits:
     """
 
     rows_per_task: int = 5_000_000
-    max_pieces: int = 512
+    max_pieces: int = 10_000
     top: int = 64
     tracked: int = 8192
     always_cut: bool = False
