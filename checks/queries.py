@@ -137,7 +137,8 @@ def drop_missing_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.require(ods.ods_payments(raw(spark, sf_dir, "payments")), ["client_id", "payment_date", "amount"]).transform(plain)
+    typed = ods.ods_payments(raw(spark, sf_dir, "payments"))
+    return plain(clean.require(typed, ["client_id", "payment_date", "amount"]))
 
 
 @_query

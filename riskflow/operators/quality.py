@@ -41,7 +41,8 @@ def foreign_key(child: DataFrame, key: str, parent: DataFrame, parent_key: str)
     Child rows are counted per key before the join, so a hot key enters it as one row.
     """
     per_key = child.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    orphans = per_key.join(parent.select(F.col(parent_key).alias("_parent")), F.col("_key") == F.col("_parent"), "left_anti")
+    parents = parent.select(F.col(parent_key).alias("_parent"))
+    orphans = per_key.join(parents, F.col("_key") == F.col("_parent"), "left_anti")
     return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations")).select(
         F.lit("foreign_key").alias("check"), F.lit(key).alias("target"), "violations"
     )

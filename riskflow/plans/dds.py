@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from riskflow.functions.text import null_tokens
 from riskflow.operators.clean import in_range, keep_one, require

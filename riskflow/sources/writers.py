@@ -29,7 +29,8 @@ def write_messages(df: DataFrame, path: str) -> None:
 
 def write_kafka(df: DataFrame, servers: str, topic: str) -> None:
     """One JSON object per row, to a Kafka topic (needs the Kafka connector on the class path)."""
-    encode_messages(df).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+    writer = encode_messages(df).write.format("kafka")
+    writer.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -72,8 +73,8 @@ def sort_ranges(
     """Partitions that cover disjoint ranges of ``key``, each sorted by it.
 
     Rows of one key are cut into pieces by a hash of the ``spread`` columns (by default all) and of the task
-    that read the row, so neither a hot key nor a group of copies fills one partition. Finding the ranges takes a pass over ``df``, so pass a
-    stored table and compute further columns afterwards.
+    that read the row, so neither a hot key nor a group of copies fills one partition. Finding the ranges
+    takes a pass over ``df``, so pass a stored table and compute further columns afterwards.
     """
     piece = F.pmod(F.xxhash64(*(spread or df.columns), F.spark_partition_id()), F.lit(PIECES))
     count = [partitions] if partitions else []  # without a number, adaptive execution may merge small ranges
