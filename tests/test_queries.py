@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks.oracles import all_oracles
+from checks.queries import all_queries
 from tests.compare import connect, difference
 
 QUERIES, SQL = queries(), oracle_sql()
@@ -16,10 +18,10 @@ def con(small):
 
 
 def test_each_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(all_queries()) == set(all_oracles())
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, con, small, name):
     assert difference(spark, con, small, QUERIES[name], SQL[name]) is None
 
