@@ -12,6 +12,7 @@ depend on the data).
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -156,7 +157,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     all others are kept as they are.
     """
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(path))
-    key = (path, pattern, shared.id)
+    key = (path, pattern, uuid.uuid4().hex)
     new = T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
 
     def start():

@@ -126,6 +126,8 @@ class Lines(HTMLParser):
         self.parts.append(data)
 
     def close(self):
+        if self.rawdata.startswith("<!--"):
+            self.rawdata = ""  # a comment that is never ended hides the rest of the page
         super().close()
         self.flush()
 

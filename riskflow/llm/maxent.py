@@ -322,8 +322,8 @@ def measured_parts(texts: list[bytes], counts: Counts) -> list[pa.Array]:
     return [
         pa.array((lengths + 1).astype(np.int64)),
         pa.array((np.bincount(owner, hot, n) + (counts.ends > 0)).astype(np.int64)),
-        pa.array(np.bincount(owner, logs, n) + np.log10(counts.ends + 1)),
-        pa.array(np.bincount(owner, logs * rare - buckets, n)),
+        pa.array(np.bincount(owner, logs, n) + np.log10(counts.ends + 1), pa.float64()),
+        pa.array(np.bincount(owner, logs * rare - buckets, n).astype(float), pa.float64()),
         pa.array(events_of(words, counts.model), pa.binary()),
         pa.ListArray.from_arrays(cuts, rows),
     ]

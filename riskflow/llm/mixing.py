@@ -48,6 +48,8 @@ def reached(sources: DataFrame, exponents: list[float], entropy: float | None, r
             F.min(p / F.col("n_tokens")).alias(f"least{i}"),
         ]
     row = sources.agg(F.count("*").alias("n"), *columns).first()
+    if not row["n"]:
+        return [True] * len(exponents)
     found = []
     for i in range(len(exponents)):
         z = row[f"z{i}"]

@@ -83,7 +83,7 @@ grams AS (
   SELECT doc_id, unnest(list_distinct(CASE
     WHEN len(w) = 0 THEN []
     WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')) END)) AS g
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END)) AS g
   FROM words),
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
 pairs AS (
@@ -104,8 +104,8 @@ JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USIN
 FOREST_SQL = """
 WITH RECURSIVE vectors AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (
   SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b
   ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9),
