@@ -13,9 +13,12 @@ from __future__ import annotations
 
 import base64
 import uuid
+from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +26,7 @@ from pyspark.sql import types as T
 from riskflow.llm.words import with_columns
 
 #: texts' pieces whose ids a task keeps; when full they are forgotten and gathered anew
-KEPT_PIECES = 400_000
+KEPT_PIECES = 500_000
 #: pairs of entries whose compatibility a task keeps, likewise
 KEPT_PAIRS = 1_000_000
 
@@ -50,36 +53,54 @@ class Encoder:
             raise ValueError(f"the vocabulary has no entry for {len(missing)} of the 256 bytes")
         self.size = [len(self.entry.get(rank, b"")) for rank in range(max(self.entry) + 1)]
         self.finder = ahocorasick.Automaton()
+        self.single = [ranks[bytes([b])] for b in range(256)]
         for entry, rank in ranks.items():
-            self.finder.add_word(entry.decode("latin-1"), (len(entry), rank))
+            if len(entry) > 1:
+                self.finder.add_word(entry.decode("latin-1"), rank)
         self.finder.make_automaton()
         self.fits: dict[tuple[int, int], bool] = {}
         self.shorter: dict[int, int] = {}
-        self.kept: dict[str, tuple[int, ...]] = {}
-
-    def merged(self, data: bytes) -> list[int]:
-        """The merges carried out one by one; used for pairs of entries only."""
-        parts = [data[i : i + 1] for i in range(len(data))]
-        costs = [self.ranks.get(a + b, _NEVER) for a, b in zip(parts, parts[1:])]
-        while costs:
-            best = min(costs)
-            if best == _NEVER:
-                break
-            at = costs.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del costs[at]
-            if at:
-                costs[at - 1] = self.ranks.get(parts[at - 1] + parts[at], _NEVER)
-            if at < len(costs):
-                costs[at] = self.ranks.get(parts[at] + parts[at + 1], _NEVER)
-        return [self.ranks[p] for p in parts]
+        self.last_merge: dict[int, tuple[int, int]] = {}
+        self.kept: dict[str, bytes] = {}
+
+    def halves(self, token: int) -> tuple[int, int]:
+        """The two entries whose merge, the last one, makes an entry of several bytes."""
+        found = self.last_merge.get(token)
+        if found is None:
+            entry = self.entry[token]
+            parts = [entry[i : i + 1] for i in range(len(entry))]
+            while len(parts) > 2:
+                best, at = min((self.ranks.get(a + b, _NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+                if best == _NEVER:
+                    raise ValueError(f"merges never make the entry of rank {token}")
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            found = self.last_merge[token] = self.ranks[parts[0]], self.ranks[parts[1]]
+        return found
 
     def neighbours(self, pair: tuple[int, int]) -> bool:
-        """Whether the merges leave the two entries side by side."""
+        """Whether the merges leave the two entries side by side.
+
+        Goes back in time from the finished entries: the one made last is undone, so that its inner half meets the
+        other. The two fail if what meets there would merge before the merge just undone; of equal merges the one
+        further left comes first.
+        """
         if len(self.fits) >= KEPT_PAIRS:
             self.fits.clear()
+        entry, size, merge = self.entry, self.size, self.ranks.get
         left, right = pair
-        fits = self.fits[pair] = self.merged(self.entry[left] + self.entry[right]) == [left, right]
+        until, fits = _NEVER, True
+        while True:
+            if merge(entry[left] + entry[right], _NEVER) < until:
+                fits = False
+                break
+            undo_left = size[left] > 1 and (size[right] == 1 or left > right)
+            if undo_left:
+                until, left = left, self.halves(left)[1]
+            elif size[right] > 1:
+                until, right = right + 1, self.halves(right)[0]
+            else:
+                break
+        self.fits[pair] = fits
         return fits
 
     def prefix(self, token: int) -> int:
@@ -96,9 +117,9 @@ class Encoder:
         if whole is not None:
             return [whole]
         n, size, known = len(data), self.size, self.fits.get
-        longest = [0] * n
-        for end, (length, token) in self.finder.iter(data.decode("latin-1")):
-            longest[end - length + 1] = token  # ends grow, so the longest is set last
+        longest = list(map(self.single.__getitem__, data))
+        for end, token in self.finder.iter(data.decode("latin-1")):
+            longest[end + 1 - size[token]] = token  # ends grow, so the longest is set last
         stuck: set[int] = set()
         taken: list[int] = []
         last, at, token = -1, 0, longest[0]
@@ -123,18 +144,22 @@ class Encoder:
                 token = self.prefix(back)
         return taken
 
-    def encode(self, text: str) -> list[int]:
-        kept, ids = self.kept, []
-        known, add = kept.get, ids.extend
-        for p in self.split(text):
-            found = known(p)
-            if found is None:
-                found = tuple(self.piece(p.encode("utf-8")))
-                if len(p) <= 64:
-                    if len(kept) >= KEPT_PIECES:
-                        kept.clear()
-                    kept[p] = found
-            add(found)
+    def encode(self, text: str) -> bytes:
+        """The ids of a text, as int32."""
+        found = self.split(text)
+        ids = list(map(self.kept.get, found))
+        if None in ids:
+            for i, known in enumerate(ids):
+                if known is None:
+                    ids[i] = self.kept.get(found[i]) or self.add(found[i])
+        return b"".join(ids)
+
+    def add(self, p: str) -> bytes:
+        ids = array("i", self.piece(p.encode("utf-8"))).tobytes()
+        if len(p) <= 64:
+            if len(self.kept) >= KEPT_PIECES:
+                self.kept.clear()
+            self.kept[p] = ids
         return ids
 
 
@@ -162,7 +187,13 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
 
     def start():
         one = _encoder(key, shared.value, pattern).encode
-        return lambda texts: [pa.array([one(t.decode("utf-8", "replace")) for t in texts], pa.list_(pa.int32()))]
+
+        def make(texts: list[bytes]) -> list[pa.Array]:
+            found = [one(t.decode("utf-8", "replace")) for t in texts]
+            cuts = np.concatenate([[0], np.cumsum([len(x) // 4 for x in found])]).astype(np.int32)
+            return [pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.frombuffer(b"".join(found), np.int32)))]
+
+        return make
 
     return with_columns(df, text, new, start)
 
@@ -179,7 +210,10 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 rows = batch.slice(a, 256)
-                texts = pa.array([b"".join(map(entry, x or ())) for x in rows.column("t").to_pylist()], pa.binary())
+                lists = rows.column("t")
+                flat = np.asarray(lists.flatten()).tolist()
+                ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(lists), 0))).tolist()
+                texts = pa.array([b"".join(map(entry, flat[x:y])) for x, y in zip([0, *ends], ends)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*rows.columns[:-1], texts], names=out.names)
 
     coded = plain.mapInArrow(run, out)
