@@ -222,9 +222,9 @@ def _days(source: str, client: str, at: str, amount: str, places: int) -> str:
       round(an, {places}) AS avg_transaction_count, round(sn, {places}) AS stddev_transaction_count,
       round(ta, {places}) AS avg_total_amount, round(st, {places}) AS stddev_total_amount, an, sn, ta, st, total
     FROM (SELECT *, avg(transaction_count) OVER w AS an, stddev_samp(transaction_count) OVER w AS sn,
-        avg(total) OVER w AS ta, stddev_samp(total) OVER w AS st
+        avg(exact) OVER w AS ta, stddev_samp(exact) OVER w AS st
       FROM (SELECT cast(cast({client} AS bigint) AS varchar) AS client_id, cast({at} AS date) AS transaction_date,
-          count({amount}) AS transaction_count, sum(cast({amount} AS double)) AS total
+          count({amount}) AS transaction_count, sum(cast({amount} AS decimal(28,6))) AS exact, cast(exact AS double) AS total
         FROM ({source}) WHERE {client} IS NOT NULL AND {at} IS NOT NULL AND {amount} IS NOT NULL GROUP BY ALL)
       WINDOW w AS (PARTITION BY transaction_date))"""
 
@@ -404,7 +404,7 @@ def _bodies() -> dict[str, str]:
         "stream_to_csv": f"{_LOGINS_CSV} FROM ({_wire('logins')})",
         "stream_to_typed": f"""SELECT DISTINCT {_id("client_id")} AS client_id, {_id("transaction_id")} AS transaction_id,
           try_cast(transaction_date AS timestamp) AS transaction_date, transaction_type, account_number, currency,
-          cast(CASE WHEN amount <> 'NaN' AND cast(amount AS double) < 1e7 THEN cast(amount AS decimal(15,2)) END AS double)
+          cast(CASE WHEN amount <> 'NaN' THEN cast(amount AS decimal(15,2)) END AS double)
           AS amount, record_saved_at FROM raw_transactions WHERE client_id <> 'NaN'""",
         "dq_not_null": " UNION ALL ".join(
             _dq("not_null", c, f"SELECT count(*) FROM ods_payments WHERE {c} IS NULL")
@@ -444,4 +444,9 @@ def _bodies() -> dict[str, str]:
 
 def all_oracles() -> dict[str, str]:
     oracles = {name: _with_layers(body) for name, body in _bodies().items()}
-    return oracles | {"messages_to_zscore_global": _with_layers(_zscore_global(_MART), keyed=True)}
+    from_messages = {
+        "messages_to_zscore_global": _zscore_global(_MART),
+        "messages_dim_currency": "SELECT * FROM dim_currency",
+        "messages_fact_payment": "SELECT * REPLACE (cast(amount AS double) AS amount) FROM fact_payment",
+    }
+    return oracles | {name: _with_layers(body, keyed=True) for name, body in from_messages.items()}

@@ -148,7 +148,7 @@ def name_not_like(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def exclude_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.exclude_names(raw(spark, sf_dir, "payments"), "currency", (dims.MISSING_NAME, "currency"))
+    return clean.exclude_names(raw(spark, sf_dir, "payments"), "currency", ("\\nan\\", "currency"))
 
 
 @_query
@@ -506,6 +506,28 @@ def stream_to_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(ods.ods_transactions(readers.read_text_csv(spark, path, TRANSACTIONS)))
 
 
+def _payments_from_bare_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed payments whose messages hold a bare NaN for missing texts too, as a producer's JSON library writes them."""
+    sent = _messages(spark, sf_dir, "payments")
+    body = sent.columns[0]
+    bare = F.replace(F.col(body), F.lit('"\\\\NaN\\\\"'), F.lit("NaN"))
+    path = ingest.ingest_to_csv(spark, sent.select(bare.alias(body)), PAYMENTS, work_path(spark, "ingest"))
+    return materialize(ods.ods_payments(readers.read_text_csv(spark, path, PAYMENTS)), "payments")
+
+
+@_query
+def messages_dim_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No missing-value text becomes a currency."""
+    return dds.dim_currencies(_payments_from_bare_messages(spark, sf_dir))
+
+
+@_query
+def messages_fact_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments whose currency or method is missing in the message are left out."""
+    typed = _payments_from_bare_messages(spark, sf_dir)
+    return plain(dds.fact_payments(typed, dds.dim_currencies(typed), dds.dim_payment_methods(typed)))
+
+
 @_query
 def messages_to_zscore_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way of all entities: message streams, text, typed, star, marts, flagged client days."""

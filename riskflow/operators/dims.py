@@ -8,17 +8,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.operators.clean import exclude_names
+from riskflow.schemas import NULL_TOKENS
 from riskflow.session import materialize
 
 # Up to this many rows are numbered in one task; more are numbered in sorted ranges.
 ONE_TASK_ROWS = 100_000
-# Fixed value: the lower-cased missing-value text that no dimension may hold.
-MISSING_NAME = "\\nan\\"
 
 
 def dimension_names(df: DataFrame, column: str, name: str, header: str | None = None) -> DataFrame:
     """The distinct usable names of one column; leaked header texts and missing-value texts are left out."""
-    names = exclude_names(df.select(column), column, (MISSING_NAME, header or column))
+    names = exclude_names(df.select(column), column, (*NULL_TOKENS, header or column))
     return names.distinct().select(F.col(column).alias(name))
 
 

@@ -10,14 +10,14 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def mean_and_deviation(columns: dict[str, Column]) -> list[Column]:
     """avg_<name> and stddev_<name> (sample) for each measure; a single row has no deviation."""
     out = []
     for name, c in columns.items():
-        c = c.cast("double")
-        out += [F.avg(c).alias(f"avg_{name}"), F.stddev_samp(c).alias(f"stddev_{name}")]
+        out += [F.avg(c).cast("double").alias(f"avg_{name}"), F.stddev_samp(c.cast("double")).alias(f"stddev_{name}")]
     return out
 
 
@@ -26,8 +26,11 @@ def with_day_stats(df: DataFrame, day: str, measures: dict[str, Column]) -> Data
 
     Equal to a window over the day, but a window would bring a whole day into one task. Here days are
     aggregated before the shuffle and the result is joined back. It may be broadcast whatever the data size:
-    a date column holds at most 3 652 059 different days (years 1 to 9999), about 150 MB of statistics.
+    a date column holds at most 3 652 059 different days (years 1 to 9999), about 150 MB of statistics. Any other
+    type is refused.
     """
+    if df.schema[day].dataType != T.DateType():
+        raise TypeError(f"{day} must be a date")
     stats = df.groupBy(F.col(day).alias("_day")).agg(*mean_and_deviation(measures))
     joined = df.join(F.broadcast(stats), F.col(day) == F.col("_day"))
     return joined.drop("_day")

@@ -15,6 +15,7 @@ from riskflow.operators.clean import require
 from riskflow.operators.stats import approx_quantiles, exact_quantiles, mean_and_deviation, with_day_stats
 from riskflow.session import materialize
 
+SUM_TYPE = "decimal(28,6)"
 COUNT, TOTAL = "daily_transaction_count", "daily_total_amount"
 
 
@@ -27,7 +28,7 @@ def daily_profile(
 ) -> DataFrame:
     """Count and sum per client and day. Rows are combined before the shuffle, so hot clients are harmless."""
     return df.groupBy(F.col(client).alias("client_id"), F.to_date(at).alias("transaction_day")).agg(
-        F.count(item).alias(COUNT), F.sum(F.col(amount).cast(MONEY_TYPE)).alias(TOTAL)
+        F.count(item).alias(COUNT), F.sum(F.col(amount).try_cast(MONEY_TYPE)).alias(TOTAL)
     )
 
 
@@ -79,9 +80,9 @@ def relevant_columns(df: DataFrame, client: str, at: str, amount: str) -> DataFr
 
 
 def client_days(df: DataFrame) -> DataFrame:
-    """Count and sum per client and day of the relevant columns."""
+    """Count and sum per client and day of the relevant columns; sums are exact decimals, whatever the row order."""
     return df.groupBy("client_id", "transaction_date").agg(
-        F.count("amount").alias("transaction_count"), F.sum("amount").alias("total_transaction_amount")
+        F.count("amount").alias("transaction_count"), F.sum(F.col("amount").try_cast(SUM_TYPE)).alias("total_transaction_amount")
     )
 
 

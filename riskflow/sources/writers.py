@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,9 +16,19 @@ COMPRESSION = "zstd"
 PIECES = 4096
 
 
+def plain_number(c: Column) -> Column:
+    """A double as text without an exponent where 38 digits hold it, so that strict casts read it back."""
+    text = c.cast("string")
+    digits = text.try_cast("decimal(38,12)").cast("string")
+    short = F.regexp_replace(digits, r"(\.\d+?)0+$", "$1")
+    return F.when(text.contains("E") & digits.isNotNull() & (digits.try_cast("double") == c), short).otherwise(text)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV files with a header; blanks at the ends of a value are kept."""
-    writer = df.write.mode("overwrite").option("header", True)
+    """CSV files with a header; blanks at the ends of a value are kept, doubles are written as plain decimals."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    plain = [plain_number(F.col(n)).alias(n) if isinstance(k, T.DoubleType) else F.col(n) for n, k in kinds.items()]
+    writer = df.select(*plain).write.mode("overwrite").option("header", True)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 

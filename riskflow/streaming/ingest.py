@@ -14,24 +14,24 @@ from riskflow.session import together
 from riskflow.sources.readers import message_text, read_json, read_text_csv
 from riskflow.sources.writers import write_csv
 
-# Fixed value: a landing run takes at most this many seconds.
-RUN_SECONDS = 120
 ENVELOPE = T.StructType([T.StructField("raw_data", T.StringType(), True)])
 
 
-def land(messages: DataFrame, raw_path: str, checkpoint_path: str, seconds: int = RUN_SECONDS) -> bool:
-    """Append all messages that are available now to JSON files; true if that finished in time.
+def land(messages: DataFrame, raw_path: str, checkpoint_path: str, seconds: float | None = None) -> None:
+    """Append all messages that are available now to JSON files; returns when all have landed.
 
-    The checkpoint holds the progress: a later run goes on where this one stopped, and a batch that was cut
-    off is written again without duplicates, because readers trust the sink's own list of finished files.
+    With ``seconds``, a run that takes longer is stopped and raises ``TimeoutError``, so that no batch step works on
+    part of the messages. The checkpoint holds the progress: a later run goes on where this one stopped, and a batch
+    that was cut off is written again without duplicates, because readers trust the sink's own list of finished files.
     """
     writer = message_text(messages).writeStream.format("json").outputMode("append")
     writer = writer.option("path", raw_path).option("checkpointLocation", checkpoint_path)
     query = writer.trigger(availableNow=True).start()
-    finished = bool(query.awaitTermination(seconds))
-    if not finished:
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
-    return finished
+        raise TimeoutError(f"not all messages had landed in {raw_path} after {seconds} seconds; run again to go on")
 
 
 def parse_landed(raw: DataFrame, entity: Entity, drop_keyless: bool = True) -> DataFrame:
@@ -43,11 +43,19 @@ def parse_landed(raw: DataFrame, entity: Entity, drop_keyless: bool = True) -> D
 
 
 def ingest(
-    spark: SparkSession, messages: DataFrame, entity: Entity, root: str, drop_keyless: bool = True
+    spark: SparkSession,
+    messages: DataFrame,
+    entity: Entity,
+    root: str,
+    drop_keyless: bool = True,
+    seconds: float | None = None,
 ) -> DataFrame:
-    """Land the messages below ``root`` and return the typed table over everything landed so far."""
+    """Land the messages below ``root`` and return the typed table over everything landed so far.
+
+    Fails without a result if a limit in ``seconds`` is given and not kept.
+    """
     raw_path = f"{root}/{entity.name}/raw_json"
-    land(messages, raw_path, f"{root}/{entity.name}/checkpoint")
+    land(messages, raw_path, f"{root}/{entity.name}/checkpoint", seconds)
     return parse_landed(read_json(spark, raw_path, ENVELOPE), entity, drop_keyless)
 
 

@@ -76,6 +76,26 @@ def test_messages_with_bare_missing_values(spark, tmp_path):
     assert back[0].client_birthday == "1990-05-06T00:00:00.000Z"
 
 
+def test_landing_that_takes_too_long_hands_nothing_on(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for part in range(20):
+        (tmp_path / "in" / f"{part}.txt").write_text(json.dumps({"client_id": float(part)}))
+    messages = readers.file_messages(spark, str(tmp_path / "in"), maxFilesPerTrigger="1")
+    with pytest.raises(TimeoutError):
+        ingest(spark, messages, CLIENTS, str(tmp_path / "out"), seconds=0.2)
+    assert ingest(spark, messages, CLIENTS, str(tmp_path / "out")).count() == 20
+
+
+def test_large_amounts_survive_csv(spark, tmp_path):
+    amounts = [0.0005, 9999999.99, 1e7, 12345678.5, 123456789012.25, -2.5e8, 5.0, None]
+    rows = spark.createDataFrame([(a,) for a in amounts], "amount double")
+    writers.write_csv(rows, str(tmp_path / "csv"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
+    texts = [r.amount for r in back.collect()]
+    assert not any("E" in t for t in texts if t)
+    assert sorted(float(t) for t in texts if t) == sorted(a for a in amounts if a is not None)
+
+
 def test_landing_goes_on_where_it_stopped(spark, tmp_path):
     source, raw, check = tmp_path / "in", str(tmp_path / "raw"), str(tmp_path / "check")
     source.mkdir()
@@ -84,9 +104,9 @@ def test_landing_goes_on_where_it_stopped(spark, tmp_path):
         lines = [json.dumps({"client_id": float(i), "payment_id": float(part)}) for i in range(10)]
         (source / f"{part}.txt").write_text("\n".join(lines))
         total += 10
-        assert land(readers.file_messages(spark, str(source), maxFilesPerTrigger="1"), raw, check)
+        land(readers.file_messages(spark, str(source), maxFilesPerTrigger="1"), raw, check)
         assert spark.read.json(raw).count() == total
-    assert land(readers.file_messages(spark, str(source)), raw, check)
+    land(readers.file_messages(spark, str(source)), raw, check)
     rows = readers.read_json(spark, raw, "raw_data string")
     assert rows.distinct().count() == total == rows.count()
 
