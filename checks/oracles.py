@@ -447,6 +447,6 @@ def all_oracles() -> dict[str, str]:
     from_messages = {
         "messages_to_zscore_global": _zscore_global(_MART),
         "messages_dim_currency": "SELECT * FROM dim_currency",
-        "messages_fact_payment": "SELECT * REPLACE (cast(amount AS double) AS amount) FROM fact_payment",
+        "messages_fact_payment": "SELECT * EXCLUDE (amount) FROM fact_payment",
     }
     return oracles | {name: _with_layers(body, keyed=True) for name, body in from_messages.items()}
