@@ -26,9 +26,9 @@ from pyspark.sql import types as T
 from riskflow.llm.words import with_columns
 
 #: texts' pieces whose ids a task keeps; when full they are forgotten and gathered anew
-KEPT_PIECES = 500_000
+KEPT_PIECES = 300_000
 #: pairs of entries whose compatibility a task keeps, likewise
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 500_000
 
 _NEVER = 1 << 60
 

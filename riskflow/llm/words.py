@@ -1,7 +1,7 @@
 """Words of many texts at once, in numpy.
 
 A word is a longest run of bytes outside ``\\x20`` and ``\\x09-\\x0D``; in UTF-8 that is the same as a run of such
-characters. Texts are handled in chunks of about a megabyte, so memory does not grow with a batch, and one very long
+characters. Texts are handled in chunks of a quarter megabyte, so memory does not grow with a batch, and one very long
 text is a chunk by itself.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -54,7 +54,7 @@ class Words(NamedTuple):
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
+    size = next((known for known in _powers if known >= n), 1 << max(18, int(n - 1).bit_length()))
     if size not in _powers:
         _powers.clear()
         with np.errstate(over="ignore"):
@@ -134,6 +134,8 @@ def chunks_of(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[
         for a, b in in_chunks(pc.binary_length(batch.column(column)).to_pylist()):
             piece = batch.slice(a, b - a)
             yield piece, piece.column(column).to_pylist()
+        del batch
+        pa.default_memory_pool().release_unused()  # an idle worker holds on to no batch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,7 +143,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_columns(df: DataFrame, text: str, new: T.StructType, start: Callable[[], Callable[..., list[pa.Array]]], beside: str | None = None) -> DataFrame:
-    """``df`` with columns computed from the texts of column ``text`` in Arrow batches of about a megabyte.
+    """``df`` with columns computed from the texts of column ``text`` in Arrow batches of about a quarter megabyte.
 
     ``start`` is called once per task and gives a function from texts (null as empty) to one array per new column.
     With ``beside`` that function gets the values of this column as a second argument.
