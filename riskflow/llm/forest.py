@@ -83,10 +83,42 @@ def matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten()).astype(np.float64).reshape(len(column), -1)
 
 
-def compare(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, leaves: list[list[int]], side: np.ndarray, leaf: int, least: float):
+def without_earlier(x: np.ndarray, y: np.ndarray, rows: np.ndarray, leaves: np.ndarray, starts: np.ndarray, leaf: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (x, y) of vectors that share no leaf before ``leaf``.
+
+    ``rows`` and ``leaves`` list the leaves of each vector in ascending order, ``starts`` the first leaf of each tree.
+    Trees are gone through one by one: close vectors mostly share a leaf in one of the first, which ends their case.
+    """
+    before = leaves < leaf
+    rows, leaves = rows[before], leaves[before]
+    trees = np.searchsorted(starts, leaves, "right")
+    for tree in range(1, len(starts) + 1):
+        if not len(x) or starts[tree - 1] >= leaf:
+            break
+        on = trees == tree
+        own, held = rows[on], leaves[on]
+        if not len(own):
+            continue
+        counts = np.bincount(own, minlength=int(max(x.max(), y.max())) + 1)
+        place = np.arange(len(own)) - (np.cumsum(counts) - counts)[own]
+        padded = np.full((int(counts.max()), len(counts)), -1)
+        padded[place, own] = held
+        new = np.ones(len(x), bool)
+        for one in padded:
+            left = one[x]
+            for two in padded:
+                new &= (left != two[y]) | (left < 0)
+        x, y = x[new], y[new]
+    return x, y
+
+
+def compare(
+    ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, rows: np.ndarray, leaves: np.ndarray, starts: np.ndarray, side: np.ndarray, leaf: int, least: float
+):
     """(id, root, new links) of the vectors of a cell that have links which no earlier leaf holds.
 
-    ``side`` is 0 or 1: with both present only pairs across are compared.
+    ``side`` is 0 or 1: with both present only pairs across are compared. ``rows``, ``leaves`` and ``starts`` are as in
+    ``without_earlier``.
     """
     a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     across = len(b) > 0
@@ -96,19 +128,7 @@ def compare(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, leaves: li
     x, y = np.nonzero(cosine >= least)
     if not across:
         x, y = x[x < y], y[x < y]
-    x, y = a[x], b[y]
-    if not len(x):
-        return None
-    width = max(map(len, leaves))
-    padded = np.full((len(leaves), width), -1)
-    for i, own in enumerate(leaves):
-        padded[i, : len(own)] = own
-    new = np.empty(len(x), bool)
-    for at in range(0, len(x), 4096):
-        p, q = padded[x[at : at + 4096]], padded[y[at : at + 4096]]
-        shared = (p[:, :, None] == q[:, None, :]) & (p[:, :, None] >= 0) & (p[:, :, None] < leaf)
-        new[at : at + 4096] = ~shared.any((1, 2))
-    x, y = x[new], y[new]
+    x, y = without_earlier(a[x], b[y], rows, leaves, starts, leaf)
     if not len(x):
         return None
     links = np.bincount(x, copies[y], len(ids)) + np.bincount(y, copies[x], len(ids))
@@ -160,11 +180,13 @@ def near_duplicates(
     drawn = matrix(bounded_sample(classes.select("cls", "v"), "cls", sample).select("v").toArrow().column("v"))
     unit = drawn / np.linalg.norm(drawn, axis=1, keepdims=True) if len(drawn) else drawn
     depth = max(0, int(np.ceil(np.log2(max(n, 1) / leaf_rows))))
-    forest, next_leaf, rng = [], 0, np.random.default_rng(seed)
+    forest, next_leaf, rng, first = [], 0, np.random.default_rng(seed), []
     for _ in range(trees):
+        first.append(next_leaf)
         tree, next_leaf = grow(unit, depth, margin, 32, rng, next_leaf)
         forest.append(tree)
     shared = spark.sparkContext.broadcast(forest)
+    starts = np.array(first)
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
@@ -197,8 +219,11 @@ def near_duplicates(
         across = table.column("i")[0].as_py() != table.column("j")[0].as_py()
         if across and not (side == 1).any():
             return
-        leaves = table.column("leaves").to_pylist()
-        found = compare(ids[order], copies[order], matrix(table.column("v"))[order], [leaves[k] for k in order], side[order], leaf, least)
+        leaves = table.column("leaves").combine_chunks().take(pa.array(order))
+        rows = np.repeat(np.arange(len(ids)), np.asarray(leaves.value_lengths()))
+        found = compare(
+            ids[order], copies[order], matrix(table.column("v"))[order], rows, np.asarray(leaves.flatten()), starts, side[order], leaf, least
+        )
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["id", "root", "links"])
 
