@@ -270,16 +270,29 @@ def _dq(check: str, target: str, count: str) -> str:
     return f"SELECT '{check}' AS \"check\", '{target}' AS target, ({count}) AS violations"
 
 
-def _pk(source: str, keys: str) -> str:
+_STAR = {
+    "clients": ("dds_clients", "client_id"),
+    "activity_types": ("dim_activity_type", "activity_type_id"),
+    "currencies": ("dim_currency", "currency_id"),
+    "payment_methods": ("dim_payment_method", "payment_method_id"),
+    "transaction_types": ("dim_transaction_type", "transaction_type_id"),
+    "clients_activity": ("fact_activity", "client_id,activity_date"),
+    "logins": ("fact_login", "client_id,login_date"),
+    "payments": ("fact_payment", "payment_id"),
+    "transactions": ("fact_transaction", "transaction_id"),
+}
+
+
+def _pk(source: str, keys: str, target: str | None = None) -> str:
     missing = " OR ".join(f"{k} IS NULL" for k in keys.split(","))
     grouped = f"SELECT {keys}, count(*) AS n FROM {source} GROUP BY {keys}"
-    return _dq("primary_key", keys, f"SELECT count(*) FROM ({grouped}) WHERE n > 1 OR {missing}")
+    return _dq("primary_key", target or keys, f"SELECT count(*) FROM ({grouped}) WHERE n > 1 OR {missing}")
 
 
-def _fk(child: str, key: str, parent: str, parent_key: str) -> str:
+def _fk(child: str, key: str, parent: str, parent_key: str, target: str | None = None) -> str:
     return _dq(
         "foreign_key",
-        key,
+        target or key,
         f"SELECT count(*) FROM {child} WHERE {key} IS NOT NULL AND NOT EXISTS "
         f"(SELECT 1 FROM {parent} p WHERE p.{parent_key} = {key})",
     )
@@ -397,6 +410,10 @@ def _bodies() -> dict[str, str]:
         "layout_distributed": "SELECT * FROM orders",
         "layout_bucketed": "SELECT o_orderkey, c_name, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey",
         "layout_sorted": "SELECT * FROM lineitem",
+        "layout_distributed_keys": """SELECT count(DISTINCT o_custkey) AS customers, cast(0 AS bigint) AS in_several_files
+          FROM orders""",
+        "layout_sorted_ranges": "SELECT count(*) AS stored_rows, cast(0 AS bigint) AS overlaps FROM lineitem",
+        "anomalies_to_csv": _zscore_by_day("FROM events", "user_id", "ts", "value", 6),
         **{f"stream_ingest_{name}": _wire(name) for name in ENTITIES},
         "stream_ingest_for_analysis": _zscore_by_day(
             f"SELECT * FROM ({_wire('payments')}) WHERE NOT isnan(amount)", "client_id", "payment_date", "amount", 4
@@ -423,6 +440,13 @@ def _bodies() -> dict[str, str]:
         "dq_length": " UNION ALL ".join(
             [_too_long("raw_clients", c, n) for c, n in CLIENTS.lengths.items()] + [_too_long("raw_payments", "currency", 3)]
         ),
+        "refresh_checks": " UNION ALL ".join(
+            [_pk(source, keys, f"{name}.{keys}") for name, (source, keys) in _STAR.items()]
+            + [
+                _fk(_STAR[name][0], f"{_STAR[name][0]}.client_id", "dds_clients", "client_id", f"{name}.client_id")
+                for name in ("clients_activity", "logins", "payments", "transactions")
+            ]
+        ),
         "fi_missing": """SELECT * REPLACE (CASE WHEN o_orderkey % 25 <> 1 THEN o_custkey END AS o_custkey,
           CASE WHEN o_orderkey % 25 <> 1 THEN o_totalprice END AS o_totalprice) FROM orders""",
         "fi_dates": """SELECT * REPLACE (CASE WHEN o_orderkey % 20 = 1 THEN cast(make_date(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,7 +94,7 @@ def day_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quantiles_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staged exact quantiles, joined to every row they describe."""
     profile = events_profile(spark, sf_dir).select(anomaly.COUNT, anomaly.TOTAL)
-    found = stats.exact_quantiles(profile, profile.columns, [0.25, 0.75], one_task_rows=0)
+    found = stats.exact_quantiles(profile, profile.columns, [0.25, 0.75], accuracy=20, task_rows=50)
     marks = {f"q{i}_{c}": F.lit(v) for c, values in found.items() for i, v in zip((1, 3), values)}
     return rounded(plain(profile).withColumns(marks), 6, *marks)
 
@@ -283,11 +283,11 @@ _add("fact_transaction", lambda s, d: plain(_transaction_star(s, d, _currencies(
 @_query
 def dim_numbered_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense keys for a name column with as many names as rows, numbered in sorted ranges."""
-    return dims.build_dim(table(spark, sf_dir, "customer"), "c_name", "name_id", "name", one_task_rows=0)
+    return dims.build_dim(table(spark, sf_dir, "customer"), "c_name", "name_id", "name")
 
 
 # hot keys are cut at a size that the test tables reach
-_CUT = joins.Splits(rows_per_task=40, always_cut=True)
+_CUT = joins.Splits(rows_per_task=40, output_per_task=400)
 
 
 def _fact(name: str, build: Callable[[], tuple[DataFrame, ...]]) -> tuple[DataFrame, ...]:
@@ -435,6 +435,14 @@ def layout_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writers.write_distributed(table(spark, sf_dir, "orders"), work_path(spark, "orders"), ["o_custkey"])
 
 
+@_query
+def layout_distributed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers, and how many of them have their orders in more than one file of the distributed table."""
+    stored = layout_distributed(spark, sf_dir).select("o_custkey", F.input_file_name().alias("file"))
+    files = stored.distinct().groupBy("o_custkey").agg(F.count("*").alias("n"))
+    return files.agg(F.count("*").alias("customers"), F.count_if(F.col("n") > 1).alias("in_several_files"))
+
+
 @_query
 def layout_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders per customer from two tables bucketed alike, joined without a shuffle."""
@@ -454,6 +462,26 @@ def layout_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writers.write_sorted(table(spark, sf_dir, "lineitem"), work_path(spark, "lineitem"), "l_suppkey")
 
 
+@_query
+def layout_sorted_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the sorted table, and how many of its files start below the end of the file before them."""
+    stored = layout_sorted(spark, sf_dir).select("l_suppkey", F.input_file_name().alias("file"))
+    files = stored.groupBy("file").agg(F.min("l_suppkey").alias("lo"), F.max("l_suppkey").alias("hi"), F.count("*").alias("n"))
+    # one row per file
+    before = F.lag("hi").over(Window.orderBy("lo", "hi"))
+    return files.withColumn("before", before).agg(
+        F.sum("n").alias("stored_rows"), F.count_if(F.col("lo") < F.col("before")).alias("overlaps")
+    )
+
+
+@_query
+def anomalies_to_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged client days written as CSV with a header, and read back."""
+    found, path = ano_zscore_by_day(spark, sf_dir), work_path(spark, "anomalies")
+    writers.write_csv(found, path)
+    return spark.read.schema(found.schema).option("header", True).csv(path)
+
+
 @_query
 def stored_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A detector straight over a stored table read by its path."""
@@ -577,6 +605,15 @@ def dq_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def refresh_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and references of every table of a refreshed star schema."""
+    root = work_path(spark, "checked")
+    typed = refresh.refresh_ods(raw_tables(spark, sf_dir), root)
+    bounds = {"logins": ORDER_BOUNDS, "transactions": ORDER_BOUNDS}
+    return refresh.star_checks(refresh.refresh_dds(typed, root, bounds))
+
+
 # --- planted defects ----------------------------------------------------------------------------------------
 
 

@@ -11,9 +11,6 @@ from riskflow.operators.clean import exclude_names
 from riskflow.schemas import NULL_TOKENS
 from riskflow.session import materialize
 
-# Up to this many rows are numbered in one task; more are numbered in sorted ranges.
-ONE_TASK_ROWS = 100_000
-
 
 def dimension_names(df: DataFrame, column: str, name: str, header: str | None = None) -> DataFrame:
     """The distinct usable names of one column; leaked header texts and missing-value texts are left out."""
@@ -21,15 +18,12 @@ def dimension_names(df: DataFrame, column: str, name: str, header: str | None =
     return names.distinct().select(F.col(column).alias(name))
 
 
-def number_rows(df: DataFrame, order: Sequence[str], key: str, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str], key: str) -> DataFrame:
     """Add a dense 1-based ``key`` in the order of the (unique) ``order`` columns of a stored table.
 
-    A small table is numbered by one window. A larger one is sorted into ranges, written, and each row gets
-    its position within its range plus the size of the ranges before it; no task holds more than one range.
+    The table is sorted into ranges, written, and each row gets its position within its range plus the size of
+    the ranges before it; no task holds more than one range.
     """
-    if df.count() <= one_task_rows:
-        position = F.row_number().over(Window.orderBy(*order)).cast("int")
-        return df.select(position.alias(key), *df.columns)
     ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
     place = F.monotonically_increasing_id()
     placed = materialize(
@@ -48,16 +42,14 @@ def number_rows(df: DataFrame, order: Sequence[str], key: str, one_task_rows: in
     return numbered.select((F.col("_start") + F.col("_within") + 1).cast("int").alias(key), *df.columns)
 
 
-def build_dim(
-    df: DataFrame, column: str, key: str, name: str, header: str | None = None, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def build_dim(df: DataFrame, column: str, key: str, name: str, header: str | None = None) -> DataFrame:
     """A dimension table (key, name) of one text column.
 
     The distinct names are written before they are numbered and looked up: the source is scanned once, and
     Catalyst broadcasts the dimension in lookups exactly while its file size allows it.
     """
     names = materialize(dimension_names(df, column, name, header), name)
-    return number_rows(names, [name], key, one_task_rows)
+    return number_rows(names, [name], key)
 
 
 def lookup(fact: DataFrame, dim: DataFrame, column: str, key: str, name: str) -> DataFrame:

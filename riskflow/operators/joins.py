@@ -4,61 +4,57 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from math import sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.session import fits_broadcast
+from riskflow.session import materialize
 
 
 @dataclass(frozen=True)
 class Splits:
     """How hot keys are cut.
 
-    A key with more than ``rows_per_task`` rows on a side is cut into that many pieces on this side, at most
-    ``max_pieces``. Keys are looked for with a frequent-items sketch of ``tracked`` counters, which holds
-    every key with more than a few ``tracked``-ths of the rows, and at most ``top`` of them are cut. These
-    numbers steer only the placement of rows, never the result. ``always_cut`` cuts hot keys even where
-    the right side is small enough to broadcast.
+    A key of n left and m right rows gives n * m rows. It is cut into a grid whose cells give at most about
+    ``output_per_task`` rows and read at most ``rows_per_task`` rows of a side. Every key above these sizes is cut.
+    The numbers steer only the placement of rows, never the result.
     """
 
     rows_per_task: int = 5_000_000
-    max_pieces: int = 10_000
-    top: int = 64
-    tracked: int = 8192
-    always_cut: bool = False
+    output_per_task: int = 25_000_000
 
 
-def hot_keys(df: DataFrame, key: str, splits: Splits = Splits()) -> DataFrame:
-    """At most ``splits.top`` rows (item, n): the most frequent keys by one sketch pass over the key column."""
-    sketch = F.expr(f"approx_top_k(`{key}`, {splits.top}, {splits.tracked})")
-    found = df.where(F.col(key).isNotNull()).agg(sketch.alias("top"))
-    return found.select(F.explode("top").alias("t")).select("t.item", F.col("t.count").alias("n"))
+def hot_pieces(left: DataFrame, right: DataFrame, key: str, splits: Splits = Splits()) -> DataFrame:
+    """(key, left_pieces, right_pieces) of every key that must be cut, from exact counts of both sides.
 
+    Counts combine before the shuffle and have one row per key, whatever the number of rows of a key.
+    """
+    n = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").cast("double").alias("_n"))
+    m = right.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").cast("double").alias("_m"))
 
-def hot_pieces(left: DataFrame, right: DataFrame, key: str, splits: Splits = Splits()) -> dict[object, tuple[int, int]]:
-    """Hot key -> (pieces of its left rows, pieces of its right rows); at most 2 * ``splits.top`` keys."""
-    pieces: dict[object, tuple[int, int]] = {}
-    for side, df in enumerate((left, right)):
-        for item, n in hot_keys(df, key, splits).collect():
-            count = min(-(-n // splits.rows_per_task), splits.max_pieces)
-            known = pieces.get(item, (1, 1))
-            pieces[item] = (count, known[1]) if side == 0 else (known[0], count)
-    return {item: counts for item, counts in pieces.items() if counts != (1, 1)}
-
+    def pieces(own: str, other: str) -> Column:
+        # as many rows of a side as its partner's rows allow; a square cell where both sides are long
+        allowed = F.greatest(F.lit(sqrt(splits.output_per_task)), F.lit(float(splits.output_per_task)) / F.col(other))
+        return F.ceil(F.col(own) / F.least(F.lit(float(splits.rows_per_task)), allowed)).cast("int")
 
-def _pieces_of(key: str, pieces: dict[object, tuple[int, int]], side: int) -> Column:
-    by_key = F.create_map(*[F.lit(v) for item, counts in pieces.items() for v in (item, counts[side])])
-    return F.coalesce(F.try_element_at(by_key, F.col(key)), F.lit(1))
+    found = n.join(m, key).select(key, pieces("_n", "_m").alias("left_pieces"), pieces("_m", "_n").alias("right_pieces"))
+    return found.where("left_pieces > 1 or right_pieces > 1")
 
 
-def _spread(columns: Sequence[str], pieces: Column) -> Column:
+def _spread(columns: Sequence[str], pieces: str) -> Column:
     # a hash of row values, not a random number: a task that is run again places its rows as before
-    return F.pmod(F.xxhash64(*columns), pieces).cast("int")
+    return F.pmod(F.xxhash64(*columns), F.col(pieces)).cast("int")
+
+
+def _copies(pieces: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(pieces) - 1))
 
 
-def _copies(pieces: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0), pieces - 1))
+def _with_pieces(df: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
+    found = pieces.select(F.col(key).alias("_key"), F.col("left_pieces").alias("_ls"), F.col("right_pieces").alias("_rs"))
+    counted = df.join(found, F.col(key) == F.col("_key"), "left").drop("_key")
+    return counted.withColumns({c: F.coalesce(c, F.lit(1)) for c in ("_ls", "_rs")})
 
 
 def fan_out_join(
@@ -72,41 +68,31 @@ def fan_out_join(
 ) -> DataFrame:
     """Many-to-many inner join on ``key``, with one-to-many ``lookups`` on the same key in between.
 
-    When the right side is too large to broadcast, a hot key becomes a grid: its left rows are cut into
-    pieces by a hash of ``left_spread`` and its right rows by a hash of ``right_spread``, and every pair of
-    pieces meets in one task. All other keys keep one piece. Each input is shuffled once on (key, piece,
-    piece), which serves all joins. ``lookups`` must be unique on the key. Hot keys are found by a pass over
-    the key columns, so pass stored tables.
+    A hot key becomes a grid: its left rows are cut into pieces by a hash of ``left_spread`` and its right rows by a
+    hash of ``right_spread``, and every pair of pieces meets in one task. All other keys keep one piece. Each input is
+    shuffled once on (key, piece, piece), which serves all joins, and merged, since a broadcast would leave the rows
+    of a hot key together. Without hot keys it is a plain join and Catalyst picks its way. ``lookups`` must be unique
+    on the key. Both inputs are counted per key first, so pass stored tables.
     """
-    if fits_broadcast(right) and not splits.always_cut:
-        for side in lookups:
-            left = unique_join(left, side, key, left_spread, splits)
-        return left.join(right, key)
-
-    pieces = hot_pieces(left, right, key, splits)
-    if not pieces:
+    pieces = materialize(hot_pieces(left, right, key, splits), "pieces")
+    if pieces.isEmpty():
         for side in lookups:
             left = left.join(side, key)
         return left.join(right, key)
 
-    left_pieces, right_pieces = _pieces_of(key, pieces, 0), _pieces_of(key, pieces, 1)
     keys = [key, "_lp", "_rp"]
-    joined = left.select("*", _spread(left_spread, left_pieces).alias("_lp"), _copies(right_pieces).alias("_rp"))
+    grid = _with_pieces(left, pieces, key).withColumn("_lp", _spread(left_spread, "_ls")).withColumn("_rp", _copies("_rs"))
+    joined = grid.drop("_ls", "_rs")
     for side in lookups:
-        if fits_broadcast(side):
-            joined = joined.join(side, key)
-        else:
-            every_left = side.select("*", _copies(left_pieces).alias("_lp"))
-            joined = joined.join(every_left.select("*", _copies(right_pieces).alias("_rp")), keys)
-    every_left = right.select("*", _copies(left_pieces).alias("_lp"))
-    other = every_left.withColumn("_rp", _spread(right_spread, right_pieces))
-    return joined.join(other, keys).drop("_lp", "_rp")
+        every_left = _with_pieces(side, pieces, key).withColumn("_lp", _copies("_ls"))
+        joined = joined.join(every_left.withColumn("_rp", _copies("_rs")).drop("_ls", "_rs").hint("merge"), keys)
+    every_left = _with_pieces(right, pieces, key).withColumn("_lp", _copies("_ls"))
+    other = every_left.withColumn("_rp", _spread(right_spread, "_rs")).drop("_ls", "_rs")
+    return joined.join(other.hint("merge"), keys).drop("_lp", "_rp")
 
 
 def unique_join(
     left: DataFrame, right: DataFrame, key: str, left_spread: Sequence[str], splits: Splits = Splits()
 ) -> DataFrame:
     """Inner join with a right side that is unique on ``key``; left rows of hot keys are cut into pieces."""
-    if fits_broadcast(right) and not splits.always_cut:
-        return left.join(right, key)
     return fan_out_join(left, right, key, left_spread, [key], splits=splits)

@@ -7,6 +7,7 @@ from fractions import Fraction
 from functools import reduce
 from math import floor
 from operator import or_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,8 +37,23 @@ def with_day_stats(df: DataFrame, day: str, measures: dict[str, Column]) -> Data
     return joined.drop("_day")
 
 
-# Up to this many rows the built-in exact percentile, which holds all distinct values in one task, is used.
-ONE_TASK_ROWS = 1_000_000
+class Gap(NamedTuple):
+    """The rows of a column strictly between two values; an end of None is open."""
+
+    column: str
+    low: float | None
+    high: float | None
+    before: int  # rows up to the low end
+    rows: int
+
+    def holds(self) -> Column:
+        c = F.col(self.column)
+        inside = c.isNotNull()
+        if self.low is not None:
+            inside &= c > self.low
+        if self.high is not None:
+            inside &= c < self.high
+        return inside
 
 
 def exact_quantiles(
@@ -45,55 +61,32 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     accuracy: int = 100_000,
-    one_task_rows: int = ONE_TASK_ROWS,
+    task_rows: int = 1_000_000,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column, exact and in bounded memory.
 
-    A table of at most ``one_task_rows`` rows is left to the built-in percentile. For a larger one:
+    Each wanted rank lies in a gap, at first the whole column. While a gap has more than ``task_rows`` rows, a sketch
+    gives cut values close below and above the rank, and the rows below and up to each cut value are counted exactly:
+    the rank falls on a cut value or into a gap of a few ``accuracy``-ths of the rows. What is left is ordered, no more
+    than ``task_rows`` rows of a gap in a task. Sizes decide the number of rounds, never the result.
 
-    1. A quantile sketch gives cut values close below and above each wanted quantile.
-    2. The rows below and up to each cut value are counted exactly. A rank that falls on a cut value is found.
-    3. For the others, the gap between two cut values that holds the rank, a few ``accuracy``-ths of the rows,
-       is ordered.
-    The sketch decides how much is ordered in step 3, never the result. ``df`` is read up to four times, each
-    time giving one row of fixed width to the driver; pass a written table.
+    Each pass gives one row of fixed width to the driver; pass a written table.
     """
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    if values.count() <= one_task_rows:
-        row = values.agg(*[F.percentile(c, list(probabilities)).alias(c) for c in columns]).first()
-        return {c: row[c] or [None] * len(probabilities) for c in columns}
-    margin = 2.0 / accuracy
-    near = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)})
-    sketch = values.agg(*[F.percentile_approx(c, near, accuracy).alias(c) for c in columns]).first()
-    cuts = {c: sorted(set(sketch[c] or [])) for c in columns}
-
-    tallies = [F.count(c).alias(f"{c}.all") for c in columns]
-    for c in columns:
-        for i, cut in enumerate(cuts[c]):
-            tallies += [F.count_if(F.col(c) < cut).alias(f"{c}.below.{i}")]
-            tallies += [F.count_if(F.col(c) <= cut).alias(f"{c}.upto.{i}")]
-    counted = values.agg(*tallies).first().asDict()
-
-    # rank -> value where known, else gap (low end, high end, rows up to the low end) -> ranks
-    known: dict[tuple[str, int], float] = {}
-    gaps: dict[tuple[str, float, float, int], set[int]] = {}
+    totals = values.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
     places: dict[str, list[tuple[int, float]]] = {}
+    known: dict[tuple[str, int], float] = {}
+    gaps: dict[Gap, set[int]] = {}
     for c in columns:
-        total = counted[f"{c}.all"]
+        total = totals[c]
         ranks = [Fraction(p).limit_denominator(10**9) * (total - 1) for p in probabilities] if total else []
         places[c] = [(floor(r), float(r - floor(r))) for r in ranks]
-        for rank in {r for low, _ in places[c] for r in (low, min(low + 1, total - 1))}:
-            low, before = float("-inf"), 0
-            for i, cut in enumerate(cuts[c]):
-                if rank < counted[f"{c}.below.{i}"]:
-                    gaps.setdefault((c, low, cut, before), set()).add(rank)
-                    break
-                low, before = cut, counted[f"{c}.upto.{i}"]
-                if rank < before:
-                    known[c, rank] = cut
-                    break
-            else:
-                gaps.setdefault((c, low, float("inf"), before), set()).add(rank)
+        if total:
+            gaps[Gap(c, None, None, 0, total)] = {r for low, _ in places[c] for r in (low, min(low + 1, total - 1))}
+    while wide := {gap: ranks for gap, ranks in gaps.items() if gap.rows > task_rows}:
+        narrow, found = _narrowed(values, wide, accuracy)
+        gaps = {gap: ranks for gap, ranks in gaps.items() if gap not in wide} | narrow
+        known |= found
     if gaps:
         known |= _ordered_ranks(values, gaps)
 
@@ -105,26 +98,67 @@ def exact_quantiles(
     return result
 
 
-def _ordered_ranks(
-    values: DataFrame, gaps: dict[tuple[str, float, float, int], set[int]]
-) -> dict[tuple[str, int], float]:
+def _narrowed(
+    values: DataFrame, gaps: dict[Gap, set[int]], accuracy: int
+) -> tuple[dict[Gap, set[int]], dict[tuple[str, int], float]]:
+    """Narrower gaps around the wanted ranks, and the ranks that fall on a cut value.
+
+    A cut value is one of the gap's own values, so every round leaves smaller gaps.
+    """
+    margin = 2.0 / accuracy
+    sketches = []
+    for g, (gap, ranks) in enumerate(gaps.items()):
+        near = {min(max((r - gap.before) / gap.rows + d, 0.0), 1.0) for r in ranks for d in (-margin, margin)}
+        inside = F.when(gap.holds(), F.col(gap.column))
+        sketches.append(F.percentile_approx(inside, sorted(near), accuracy).alias(f"{g}"))
+    sketch = values.agg(*sketches).first()
+    # NaN is the largest value
+    cuts = [sorted(set(sketch[str(g)]), key=lambda v: (v != v, v)) for g in range(len(gaps))]
+    tallies = []
+    for g, gap in enumerate(gaps):
+        for i, cut in enumerate(cuts[g]):
+            tallies.append(F.count_if(gap.holds() & (F.col(gap.column) < cut)).alias(f"{g}.below.{i}"))
+            tallies.append(F.count_if(gap.holds() & (F.col(gap.column) <= cut)).alias(f"{g}.upto.{i}"))
+    counted = values.agg(*tallies).first().asDict()
+
+    narrow: dict[Gap, set[int]] = {}
+    known: dict[tuple[str, int], float] = {}
+    for g, (gap, ranks) in enumerate(gaps.items()):
+        for rank in ranks:
+            low, before = gap.low, gap.before
+            for i, cut in enumerate(cuts[g]):
+                below = gap.before + counted[f"{g}.below.{i}"]
+                if rank < below:
+                    narrow.setdefault(Gap(gap.column, low, cut, before, below - before), set()).add(rank)
+                    break
+                low, before = cut, gap.before + counted[f"{g}.upto.{i}"]
+                if rank < before:
+                    known[gap.column, rank] = cut
+                    break
+            else:
+                rest = gap.before + gap.rows - before
+                narrow.setdefault(Gap(gap.column, low, gap.high, before, rest), set()).add(rank)
+    return narrow, known
+
+
+def _ordered_ranks(values: DataFrame, gaps: dict[Gap, set[int]]) -> dict[tuple[str, int], float]:
     """The values at the wanted ranks within narrow gaps of the columns, ordered one gap per task."""
-    inside = [(F.col(c) > low) & (F.col(c) < high) for c, low, high, _ in gaps]
+    inside = [gap.holds() for gap in gaps]
     entries = [
-        F.when(within, F.struct(F.lit(g).alias("gap"), F.col(c).alias("v")))
-        for g, (within, (c, *_)) in enumerate(zip(inside, gaps))
+        F.when(within, F.struct(F.lit(g).alias("gap"), F.col(gap.column).alias("v")))
+        for g, (within, gap) in enumerate(zip(inside, gaps))
     ]
     rows = values.where(reduce(or_, inside)).select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
     tallied = rows.groupBy("e.gap", "e.v").agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy("gap").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = tallied.select("gap", "v", F.sum("n").over(order).alias("upto"))
-    wanted = [(g, c, before, rank) for g, ((c, _, _, before), ranks) in enumerate(gaps.items()) for rank in ranks]
+    wanted = [(g, gap, rank) for g, (gap, ranks) in enumerate(gaps.items()) for rank in ranks]
     picked = [
-        F.min(F.when((F.col("gap") == g) & (F.col("upto") > rank - before), F.col("v"))).alias(f"{g}.{rank}")
-        for g, _, before, rank in wanted
+        F.min(F.when((F.col("gap") == g) & (F.col("upto") > rank - gap.before), F.col("v"))).alias(f"{g}.{rank}")
+        for g, gap, rank in wanted
     ]
     found = ranked.agg(*picked).first()
-    return {(c, rank): found[f"{g}.{rank}"] for g, c, _, rank in wanted}
+    return {(gap.column, rank): found[f"{g}.{rank}"] for g, gap, rank in wanted}
 
 
 def approx_quantiles(

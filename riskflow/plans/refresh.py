@@ -9,7 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from riskflow.operators import quality
 from riskflow.operators.joins import Splits
 from riskflow.plans import dds, dm, ods, publish
 from riskflow.schemas import DATE_BOUNDS
@@ -18,6 +20,19 @@ from riskflow.sources.writers import write_refresh
 
 Tables = dict[str, DataFrame]
 
+STAR_KEYS = {
+    "clients": ["client_id"],
+    "activity_types": ["activity_type_id"],
+    "currencies": ["currency_id"],
+    "payment_methods": ["payment_method_id"],
+    "transaction_types": ["transaction_type_id"],
+    "clients_activity": ["client_id", "activity_date"],
+    "logins": ["client_id", "login_date"],
+    "payments": ["payment_id"],
+    "transactions": ["transaction_id"],
+}
+FACTS = ("clients_activity", "logins", "payments", "transactions")
+
 
 def _store(root: str, loads: Mapping[str, Callable[[], DataFrame]]) -> Tables:
     """Build and write independent tables at the same time."""
@@ -75,6 +90,26 @@ def refresh_dds(
     return dims | facts
 
 
+def star_checks(star: Mapping[str, DataFrame]) -> DataFrame:
+    """(check, target, violations) of the keys of all star tables and of the facts' references to clients."""
+    keys = [quality.primary_key(star[t], k).withColumn("target", F.lit(f"{t}.{','.join(k)}")) for t, k in STAR_KEYS.items()]
+    owned = [
+        quality.foreign_key(star[t], "client_id", star["clients"], "client_id").withColumn("target", F.lit(f"{t}.client_id"))
+        for t in FACTS
+    ]
+    return quality.all_checks(*keys, *owned)
+
+
+def require_unique_clients(clients: DataFrame) -> None:
+    """Stop where a client id repeats: each mart row of this client would multiply.
+
+    The keys of dimensions and facts hold by the way these are built, so clients alone need the gate.
+    """
+    broken = quality.primary_key(clients, STAR_KEYS["clients"]).first().violations
+    if broken:
+        raise ValueError(f"{broken} client ids are repeated")
+
+
 def refresh_dm(star: Mapping[str, DataFrame], root: str, splits: Splits = Splits()) -> Tables:
     clients, currencies = star["clients"], star["currencies"]
     return _store(
@@ -108,9 +143,12 @@ def refresh_all(
     strict: bool = True,
     bounds: Mapping[str, tuple[str, str]] | None = None,
     splits: Splits = Splits(),
+    unique_clients: bool = True,
 ) -> dict[str, Tables]:
-    """All layers in order."""
+    """All layers in order. A repeated client id stops it before the marts, unless ``unique_clients`` is off."""
     typed = refresh_ods(raw, root, strict)
     star = refresh_dds(typed, root, bounds)
+    if unique_clients:
+        require_unique_clients(star["clients"])
     marts = refresh_dm(star, root, splits)
     return {"ods": typed, "dds": star, "dm": marts, "published": refresh_published(marts, root)}

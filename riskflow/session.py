@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: dict[str, str] = {}
@@ -61,18 +62,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's own size estimate lets it broadcast ``df`` without a hint."""
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    if text.startswith("-"):
-        return False
-    limit = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return estimate <= limit
-
-
 def together[T](jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
-    """Run independent loads at the same time, so that the last tasks of one do not leave executors idle."""
+    """Run independent loads at the same time, so that the last tasks of one do not leave executors idle.
+
+    They run in the caller's scheduler pool and job group.
+    """
+    spark = SparkSession.active()
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        running = {name: pool.submit(job) for name, job in jobs.items()}
+        running = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
         return {name: job.result() for name, job in running.items()}

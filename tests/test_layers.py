@@ -29,7 +29,7 @@ def test_refresh_twice_gives_the_same_tables(spark, small, tmp_path):
     raw = raw_tables(spark, small)
     once = refresh.refresh_all(raw, str(tmp_path), bounds=BOUNDS)
     kept = {n: df.collect() for n, df in once["dm"].items()}
-    twice = refresh.refresh_all(raw, str(tmp_path), bounds=BOUNDS, splits=Splits(rows_per_task=20, always_cut=True))
+    twice = refresh.refresh_all(raw, str(tmp_path), bounds=BOUNDS, splits=Splits(rows_per_task=20))
     for name, df in twice["dm"].items():
         assert sorted(map(str, df.collect())) == sorted(map(str, kept[name]))
     star, marts, published = twice["dds"], twice["dm"], twice["published"]
@@ -44,6 +44,15 @@ def test_refresh_twice_gives_the_same_tables(spark, small, tmp_path):
     assert dict(published["activity_logins"].dtypes)["ip_address_login"] == "bigint"
 
 
+def test_a_repeated_client_id_stops_the_refresh_before_the_marts(spark, small, tmp_path):
+    raw = raw_tables(spark, small)
+    renamed = raw["clients"].limit(5).withColumn("client_last_name", F.lit("Other"))
+    raw["clients"] = raw["clients"].unionByName(renamed)
+    with pytest.raises(ValueError, match="client ids are repeated"):
+        refresh.refresh_all(raw, str(tmp_path), bounds=BOUNDS)
+    assert (tmp_path / "dds" / "clients").exists() and not (tmp_path / "dm").exists()
+
+
 def test_facts_read_only_what_the_bounds_allow(spark, small, tmp_path):
     typed = refresh.refresh_ods(raw_tables(spark, small), str(tmp_path))
     plan = fact_logins(typed["logins"], ORDER_BOUNDS)._jdf.queryExecution().toString()

@@ -44,7 +44,7 @@ def brute_join(left, right):
 def test_fan_out_join_keeps_every_pair_of_a_hot_key(spark, no_broadcast):
     left, right = hot_pair(spark)
     splits = joins.Splits(rows_per_task=50)
-    pieces = joins.hot_pieces(left, right, "client_id", splits)
+    pieces = {r.client_id: (r.left_pieces, r.right_pieces) for r in joins.hot_pieces(left, right, "client_id", splits).collect()}
     assert pieces[7][0] > 10 and pieces[7][1] > 1
     names = spark.range(110).select(F.col("id").alias("client_id"), F.concat(F.lit("n"), "id").alias("name"))
     joined = joins.fan_out_join(left, right, "client_id", ["a"], ["b"], [names], splits)
@@ -67,6 +67,28 @@ def test_fan_out_join_spreads_a_hot_key_over_tasks(spark, no_broadcast):
     assert len(tasks) > 4 and max(t["count"] for t in tasks) < whole / 2
 
 
+def test_every_hot_key_is_cut_by_its_output(spark):
+    left = spark.range(200 * 300).select((F.col("id") % 200).alias("client_id"), F.col("id").alias("a"))
+    right = spark.range(200 * 300).select((F.col("id") % 200).alias("client_id"), F.col("id").alias("b"))
+    pieces = joins.hot_pieces(left, right, "client_id", joins.Splits(output_per_task=10_000)).collect()
+    assert len(pieces) == 200 and all((r.left_pieces, r.right_pieces) == (3, 3) for r in pieces)
+    assert joins.hot_pieces(left, right, "client_id", joins.Splits(output_per_task=90_000)).isEmpty()
+
+
+def test_a_long_key_on_both_sides_is_spread_though_one_side_fits_a_broadcast(spark):
+    left = spark.range(3000).select(F.lit(7).alias("client_id"), F.col("id").alias("a"))
+    right = spark.range(3000).select(F.lit(7).alias("client_id"), F.col("id").alias("b"))
+    joined = joins.fan_out_join(left, right, "client_id", ["a"], ["b"], splits=joins.Splits(output_per_task=90_000))
+    assert "SortMergeJoin" in joined._jdf.queryExecution().toString()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(t["count"] for t in tasks) == 9_000_000
+    assert max(t["count"] for t in tasks) < 9_000_000 / 3
+
+
 def test_fan_out_join_without_hot_keys_adds_nothing(spark, no_broadcast):
     left, right = hot_pair(spark)
     joined = joins.fan_out_join(left, right, "client_id", ["a"], ["b"])
@@ -109,11 +131,11 @@ def test_distinct_undoes_repeats(spark, small):
     assert again.exceptAll(orders).isEmpty() and orders.exceptAll(again).isEmpty()
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 1000])
-def test_numbering_is_dense_and_ordered(spark, one_task_rows):
-    names = spark.range(777).select(F.concat(F.lit("n"), F.lpad("id", 4, "0")).alias("name"))
-    numbered = dims.number_rows(names.orderBy(F.rand(3)), ["name"], "key", one_task_rows)
-    assert [tuple(r) for r in numbered.orderBy("key").collect()] == [(i + 1, f"n{i:04d}") for i in range(777)]
+@pytest.mark.parametrize("rows", [0, 3, 777])
+def test_numbering_is_dense_and_ordered(spark, rows):
+    names = spark.range(rows).select(F.concat(F.lit("n"), F.lpad("id", 4, "0")).alias("name"))
+    numbered = dims.number_rows(names.orderBy(F.rand(3)), ["name"], "key")
+    assert [tuple(r) for r in numbered.orderBy("key").collect()] == [(i + 1, f"n{i:04d}") for i in range(rows)]
 
 
 def test_dimension_and_lookup(spark):
@@ -125,12 +147,12 @@ def test_dimension_and_lookup(spark):
     assert sorted(map(tuple, found.collect())) == [(1, 6), (2, 1), (2, 7), (3, 2)]
 
 
-@pytest.mark.parametrize("accuracy", [4, 50, 100_000])
+@pytest.mark.parametrize(("accuracy", "task_rows"), [(4, 10), (50, 10), (50, 10_000), (100_000, 10)])
 @pytest.mark.parametrize("shape", ["id * 1.37 % 251", "id % 2", "if(id % 3 = 0, 5, id)", "cast(null AS double)"])
-def test_staged_quantiles_equal_the_built_in(spark, shape, accuracy):
+def test_staged_quantiles_equal_the_built_in(spark, shape, accuracy, task_rows):
     df = spark.range(1999).selectExpr(f"cast({shape} AS double) AS x", "cast(id AS double) AS y")
     wanted = [0.0, 0.25, 0.5, 0.75, 1.0]
-    staged = stats.exact_quantiles(df, ["x", "y"], wanted, accuracy, one_task_rows=0)
+    staged = stats.exact_quantiles(df, ["x", "y"], wanted, accuracy, task_rows)
     built_in = df.agg(*[F.percentile(c, wanted).alias(c) for c in ("x", "y")]).first()
     for c in ("x", "y"):
         assert staged[c] == pytest.approx(built_in[c] or [None] * 5)
