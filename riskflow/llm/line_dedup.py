@@ -1,10 +1,12 @@
-"""Line deduplication by winnowing: fingerprints of line runs, joined on positions, extended both ways.
+"""Line deduplication: hashes of all runs of enough words, and winnowed fingerprints of shorter ones, extended both ways.
 
 A document is the sequence of its lines that have a word; two lines are equal if their words are, letter case aside.
-A gram is the shortest run of lines from some line on with at least ``noise`` words, a window the shortest with at
-least ``guarantee`` words. Each window selects its gram of smallest hash as a fingerprint. Two documents that share a
-run of ``guarantee`` words share a whole window of it, so they select the same gram there: such a run is never missed.
-No run of fewer than ``noise`` words is ever deleted.
+A window is the shortest run of lines with at least ``guarantee`` words from some line on, or up to some line. All
+windows are compared: one that stands earlier too is deleted. The windows of a run of ``guarantee`` words cover each of
+its lines, so such a run is never missed, whichever earlier document holds it.
+A gram is the shortest run of lines from some line on with at least ``noise`` words. Each window selects its gram of
+smallest hash as a fingerprint; the grams find shorter runs, which are deleted as far as a link reaches them, not
+always. No run of fewer than ``noise`` words is ever deleted.
 """
 
 from __future__ import annotations
@@ -35,6 +37,32 @@ def line_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes[used], counts[used], used
 
 
+def run_hashes(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each run of lines from ``start`` to the line before ``end``."""
+    found = hashes[start]
+    with np.errstate(over="ignore"):
+        for k in range(1, int((end - start).max(initial=0))):
+            on = np.flatnonzero(start + k < end)
+            found[on] = mix(found[on] * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[start[on] + k])
+    return found
+
+
+def windows(hashes: np.ndarray, counts: np.ndarray, guarantee: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first line, number of lines, hash) of the shortest runs of ``guarantee`` words, from each line on and up to each."""
+    n = len(hashes)
+    total = np.concatenate([[0], np.cumsum(counts)])
+    line = np.arange(n)
+    end = np.searchsorted(total, total[:-1] + guarantee)
+    start = np.searchsorted(total, total[1:] - guarantee, "right") - 1
+    on, upto = end <= n, start >= 0
+    code = np.unique(np.concatenate([line[on] * (n + 1) + end[on], start[upto] * (n + 1) + line[upto] + 1]))
+    at, after = code // (n + 1), code % (n + 1)
+    with np.errstate(over="ignore"):
+        # another constant, so that no gram has the hash of a window
+        found = mix(run_hashes(hashes, at, after) + np.uint64(0xA0761D6478BD642F))
+    return at, after - at, found
+
+
 def fingerprints(hashes: np.ndarray, counts: np.ndarray, noise: int, guarantee: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first line, number of lines, hash) of the grams that the windows select."""
     n = len(hashes)
@@ -46,12 +74,7 @@ def fingerprints(hashes: np.ndarray, counts: np.ndarray, noise: int, guarantee:
     if not starts:
         return none, none, none.astype(np.uint64)
     gram_end, window_end = gram_end[:starts], np.minimum(window_end[:starts], n + 1)
-    with np.errstate(over="ignore"):
-        grams = hashes[:starts].copy()
-        longest = int((gram_end - np.arange(starts)).max())
-        for k in range(1, longest):
-            on = np.flatnonzero(np.arange(starts) + k < gram_end)
-            grams[on] = mix(grams[on] * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[on + k])
+    grams = run_hashes(hashes, np.arange(starts), gram_end)
     chosen, best = set(), -1
     for i in range(starts):
         if window_end[i] > n:
@@ -88,8 +111,10 @@ def extended(own: np.ndarray, other: np.ndarray, start: int, there: int, length:
 
 
 MARK = T.StructType([T.StructField(n, T.LongType()) for n in ("at", "n", "gram", "left", "right")])
+WINDOW = T.StructType([T.StructField("at", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("key", T.LongType())])
 RANGE = T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())]))
 _MARKS = pa.list_(pa.struct([(f.name, pa.int64()) for f in MARK]))
+_WINDOWS = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32()), ("key", pa.int64())]))
 _RANGES = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
@@ -103,12 +128,14 @@ def document_key(doc_id: str, text: str) -> list[Column]:
 
 
 def sequences(docs: DataFrame, text: str, doc_id: str, noise: int, guarantee: int) -> DataFrame:
-    """(id, row, hashes, marks): the line hashes of each document, as bytes, and its fingerprints."""
-    new = T.StructType([T.StructField("hashes", T.BinaryType()), T.StructField("marks", T.ArrayType(MARK))])
+    """(id, row, hashes, marks, windows): the line hashes of each document, as bytes, its fingerprints and its windows."""
+    new = T.StructType(
+        [T.StructField("hashes", T.BinaryType()), T.StructField("marks", T.ArrayType(MARK)), T.StructField("windows", T.ArrayType(WINDOW))]
+    )
 
     def start():
         def make(texts: list[bytes]) -> list[pa.Array]:
-            found, marks = [], []
+            found, marks, wholes = [], [], []
             for t in texts:
                 hashes, counts, _ = line_hashes(t)
                 at, n, grams = fingerprints(hashes, counts, noise, guarantee)
@@ -120,7 +147,11 @@ def sequences(docs: DataFrame, text: str, doc_id: str, noise: int, guarantee: in
                 found.append(hashes.tobytes())
                 rows = zip(at.tolist(), n.tolist(), *(x.view(np.int64).tolist() for x in (grams, left, right)), strict=True)
                 marks.append([dict(zip(MARK.names, row, strict=True)) for row in rows])
-            return [pa.array(found, pa.binary()), pa.array(marks, _MARKS)]
+                wholes.append(windows(hashes, counts, guarantee))
+            cuts = pa.array(np.cumsum([0, *(len(w[0]) for w in wholes)]).astype(np.int32))
+            at, n, key = (np.concatenate([w[k] for w in wholes]) for k in range(3))
+            rows = pa.StructArray.from_arrays([pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(key.view(np.int64))], fields=list(_WINDOWS.value_type))
+            return [pa.array(found, pa.binary()), pa.array(marks, _MARKS), pa.ListArray.from_arrays(cuts, rows, type=_WINDOWS)]
 
         return make
 
@@ -132,21 +163,25 @@ def repeated_runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n
     """(id, row, runs): runs of word-bearing lines that stand earlier too, as ranges that may overlap.
 
     Earlier means in a document of smaller id (null ids first, then by a hash of the text), or further up in the same
-    one. A fingerprint is compared with the first occurrence of its gram, of its gram with the line before, and of its
-    gram with the line after: three links at most, however many documents share it. Firsts are aggregated before the
-    shuffle.
+    one. A window is a run if its first occurrence is earlier. A fingerprint is compared with the first occurrence of
+    its gram, of its gram with the line before, and of its gram with the line after: three links at most, however many
+    documents share it. Firsts are aggregated before the shuffle.
     """
     lines = materialize(sequences(docs, text, doc_id, noise, guarantee).dropDuplicates(["id", "row"]), "lines")
     marks = lines.select("id", "row", F.explode("marks").alias("m"))
     keys = F.explode(F.array("m.gram", "m.left", "m.right")).alias("key")
-    marks = marks.select("id", "row", F.col("m.at").cast("int").alias("at"), F.col("m.n").cast("int").alias("n"), keys)
+    marks = marks.select("id", "row", F.col("m.at").cast("int").alias("at"), F.col("m.n").cast("int").alias("n"), keys, F.lit(False).alias("whole"))
+    wholes = lines.select("id", "row", F.explode("windows").alias("w")).select("id", "row", "w.at", "w.n", "w.key", F.lit(True).alias("whole"))
+    marks = marks.unionByName(wholes)
     place = F.struct("id", "row", "at")
     firsts = marks.groupBy("key").agg(F.min(place).alias("there"), F.count("*").alias("seen"))
     links = marks.join(firsts.where("seen > 1").drop("seen"), "key").where(F.col("there") < place)
-    links = links.groupBy("id", "row", F.col("there.id").alias("id2"), F.col("there.row").alias("row2")).agg(
-        F.collect_set(F.struct("at", F.col("there.at").alias("at2"), "n")).alias("found")
-    )
+    # windows need no other document: those of one document are a group without id2 and row2
+    id2, row2, at2 = (F.when(~F.col("whole"), F.col(f"there.{c}")).alias(f"{c}2") for c in ("id", "row", "at"))
+    links = links.groupBy("id", "row", id2, row2).agg(F.collect_set(F.struct("at", at2, "n")).alias("found"))
     links = materialize(links, "links")
+    covered = F.transform("found", lambda x: F.struct(x["at"].alias("a"), (x["at"] + x["n"]).alias("b")))
+    wholly = links.where("row2 IS NULL").select("id", "row", covered.alias("runs"))
     own = lines.select("id", "row", F.col("hashes").alias("own"))
     other = lines.select(F.col("id").alias("id2"), F.col("row").alias("row2"), F.col("hashes").alias("other"))
     joined = links.join(own, ["id", "row"]).join(other, ["id2", "row2"]).select("id", "row", "found", "own", "other")
@@ -164,7 +199,7 @@ def repeated_runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, _RANGES)], names=["id", "row", "runs"])
 
     kind = T.StructType([T.StructField("id", T.LongType()), T.StructField("row", T.LongType()), T.StructField("runs", RANGE)])
-    each = joined.mapInArrow(run, kind)
+    each = joined.mapInArrow(run, kind).unionByName(wholly)
     return each.groupBy("id", "row").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 
