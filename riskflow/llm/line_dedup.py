@@ -110,6 +110,26 @@ def extended(own: np.ndarray, other: np.ndarray, start: int, there: int, length:
     return a, b
 
 
+def linked_runs(own: np.ndarray, other: np.ndarray, found: list[dict]) -> list[tuple[int, int]]:
+    """The matched runs around all links of two documents, whatever their order.
+
+    A link is left out only if it adds no line: where a run of its own alignment holds it, or where another run holds
+    all that its alignment could reach.
+    """
+    runs: set[tuple[int, int]] = set()
+    done: dict[int, int] = {}  # by alignment, the end of its last run
+    widest = (0, 0)
+    for at, at2, n in sorted((x["at"], x["at2"], x["n"]) for x in found):
+        shift = at - at2
+        if at < done.get(shift, 0) or (widest[0] <= max(0, shift) and min(len(own), len(other) + shift) <= widest[1]):
+            continue
+        run = extended(own, other, at, at2, n)
+        done[shift] = run[1]
+        runs.add(run)
+        widest = max(widest, run, key=lambda r: r[1] - r[0])
+    return sorted(runs)
+
+
 MARK = T.StructType([T.StructField(n, T.LongType()) for n in ("at", "n", "gram", "left", "right")])
 WINDOW = T.StructType([T.StructField("at", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("key", T.LongType())])
 RANGE = T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())]))
@@ -191,11 +211,7 @@ def repeated_runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n
             runs = []
             for found, a, b in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
                 mine, theirs = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                reached: set[tuple[int, int]] = set()
-                for x in found:
-                    if not any(p <= x["at"] and x["at"] + x["n"] <= q for p, q in reached):
-                        reached.add(extended(mine, theirs, x["at"], x["at2"], x["n"]))
-                runs.append([{"a": p, "b": q} for p, q in sorted(reached)])
+                runs.append([{"a": p, "b": q} for p, q in linked_runs(mine, theirs, found)])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, _RANGES)], names=["id", "row", "runs"])
 
     kind = T.StructType([T.StructField("id", T.LongType()), T.StructField("row", T.LongType()), T.StructField("runs", RANGE)])

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
+import numpy as np
+
 from riskflow.llm import line_dedup
 
 
@@ -63,3 +66,20 @@ def test_all_runs_of_fifty_words_go(spark):
         assert all(x in rest for x in stay), "a line of a run of fifty words that stands earlier was kept"
         again = iter(stay)
         assert all(x in again for x in most if x), "a line outside all earlier runs of 25 words was deleted"
+
+
+def test_every_alignment_of_a_gram_is_extended():
+    """The earlier document holds a notice twice, with different lines after it; no order of the links loses lines."""
+    notice, z, y = [1, 2], [30, 31, 32], [40, 41, 42]
+    other = np.array([*notice, *z, *notice, *y], np.uint64)
+    own = np.array([9, *notice, *y, 8], np.uint64)
+    links = [{"at": 1, "at2": 0, "n": 2}, {"at": 1, "at2": 5, "n": 2}, {"at": 2, "at2": 6, "n": 3}]
+    for order in itertools.permutations(links):
+        runs = line_dedup.linked_runs(own, other, list(order))
+        assert {i for a, b in runs for i in range(a, b)} == set(range(1, 6))
+
+
+def test_alignments_of_one_repeated_line():
+    own = np.full(5000, 7, np.uint64)
+    links = [{"at": i, "at2": 0, "n": 1} for i in range(1, 5000)]
+    assert line_dedup.linked_runs(own, own, links) == [(1, 5000)]
