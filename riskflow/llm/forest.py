@@ -164,43 +164,48 @@ def near_duplicates(
     so no task holds more than two blocks and none is left out. ``margin`` is the half width of the overlap, in the
     length of a projection of a unit vector.
 
-    Vectors that are null, zero, or hold null or non-finite values, rows with a null id, and vectors whose length
-    differs from that of most link with nothing; they are their own component and kept. Rows that share an id are one
-    node. An empty table gives no rows. Columns named like the new ones are replaced.
+    Vectors of each length have a forest of their own, since only vectors of equal length have a cosine. Vectors that
+    are null, zero, or hold null or non-finite values, and rows with a null id link with nothing; they are their own
+    component and kept. Rows that share an id are one node. An empty table gives no rows. Columns named like the new ones are replaced.
     """
     spark = embeddings.sparkSession
     v = F.col(f"`{vector}`").cast("array<double>")
     sound = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = embeddings.select(F.col(f"`{vec_id}`").cast("long").alias("id"), F.when(sound, v).alias("v"))
-    usual = rows.where("v is not null").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    d = usual.d if usual else 0
-    usable = rows.where((F.col("id").isNotNull()) & F.col("v").isNotNull() & (F.size("v") == d))
+    usable = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull())
     classes = materialize(usable.groupBy("v").agg(F.min("id").alias("cls"), F.count("*").alias("copies")), "classes")
-    n = classes.count()
-    drawn = matrix(bounded_sample(classes.select("cls", "v"), "cls", sample).select("v").toArrow().column("v"))
-    unit = drawn / np.linalg.norm(drawn, axis=1, keepdims=True) if len(drawn) else drawn
-    depth = max(0, int(np.ceil(np.log2(max(n, 1) / leaf_rows))))
-    forest, next_leaf, rng, first = [], 0, np.random.default_rng(seed), []
-    for _ in range(trees):
-        first.append(next_leaf)
-        tree, next_leaf = grow(unit, depth, margin, 32, rng, next_leaf)
-        forest.append(tree)
-    shared = spark.sparkContext.broadcast(forest)
-    starts = np.array(first)
+    lengths = classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy("d").collect()
+    forests, next_leaf, first = {}, 0, []
+    for d, n in lengths:
+        depth = max(0, int(np.ceil(np.log2(n / leaf_rows))))
+        unit = np.zeros((0, d))  # a tree of one leaf needs no sample
+        if depth:
+            drawn = matrix(bounded_sample(classes.where(F.size("v") == d).select("cls", "v"), "cls", sample).select("v").toArrow().column("v"))
+            unit = drawn / np.linalg.norm(drawn, axis=1, keepdims=True)
+        rng, forests[d] = np.random.default_rng(seed), []
+        for _ in range(trees if depth else 1):
+            first.append((d, next_leaf))
+            tree, next_leaf = grow(unit, depth, margin, 32, rng, next_leaf)
+            forests[d].append(tree)
+    shared = spark.sparkContext.broadcast(forests)
+    starts = {d: np.array([leaf for own, leaf in first if own == d]) for d, _ in lengths}
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for at in range(0, big.num_rows, 4096):
-                batch = big.slice(at, 4096)
-                x = matrix(batch.column(2))
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                pairs = [leaves_of(tree, x, margin) for tree in shared.value]
-                row, leaf = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
-                order = np.lexsort((leaf, row))
-                row, leaf = row[order], leaf[order]
-                cuts = np.searchsorted(row, np.arange(len(x) + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(leaf.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["cls", "copies", "v", "leaves"])
+                piece = big.slice(at, 4096)
+                size = np.asarray(piece.column(2).value_lengths())
+                for d in np.unique(size).tolist():
+                    batch = piece if (size == d).all() else piece.filter(pa.array(size == d))
+                    x = matrix(batch.column(2))
+                    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                    pairs = [leaves_of(tree, x, margin) for tree in shared.value[d]]
+                    row, leaf = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+                    order = np.lexsort((leaf, row))
+                    row, leaf = row[order], leaf[order]
+                    cuts = np.searchsorted(row, np.arange(len(x) + 1)).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(leaf.astype(np.int32)))
+                    yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["cls", "copies", "v", "leaves"])
 
     placed = classes.select("cls", "copies", "v").mapInArrow(place, "cls long, copies long, v array<double>, leaves array<int>")
     placed = materialize(placed, "placed")
@@ -221,9 +226,8 @@ def near_duplicates(
             return
         leaves = table.column("leaves").combine_chunks().take(pa.array(order))
         rows = np.repeat(np.arange(len(ids)), np.asarray(leaves.value_lengths()))
-        found = compare(
-            ids[order], copies[order], matrix(table.column("v"))[order], rows, np.asarray(leaves.flatten()), starts, side[order], leaf, least
-        )
+        vectors = matrix(table.column("v"))[order]
+        found = compare(ids[order], copies[order], vectors, rows, np.asarray(leaves.flatten()), starts[vectors.shape[1]], side[order], leaf, least)
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["id", "root", "links"])
 
