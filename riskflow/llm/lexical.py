@@ -28,13 +28,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskflow.llm.words import chunks_of, hash_words, in_chunks, texts_as_bytes
+from riskflow.llm.words import chunks_of, hash_words, in_chunks, texts_as_bytes, with_columns
 from riskflow.session import materialize
 
-# Fixed value: the terms of a text. Outside ASCII every character belongs to a term.
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: bytes that separate terms
+# Fixed value: the bytes that separate terms. Outside ASCII every character belongs to a term.
 _APART = np.ones(256, bool)
 for _first, _last in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)):
     _APART[_first : _last + 1] = False
@@ -70,6 +69,15 @@ def _terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(numbers), np.concatenate(parts)
 
 
+def _counts(texts: list[bytes]) -> list[pa.Array]:
+    """The number of terms of each text."""
+    joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    apart = _APART[joined]
+    ends = np.flatnonzero(apart[1:] & ~apart[:-1])
+    bounds = np.searchsorted(ends, np.cumsum([len(t) + 1 for t in texts]) - 1)
+    return [pa.array(np.diff(bounds, prepend=0))]
+
+
 def _runs(*keys: np.ndarray) -> np.ndarray:
     """Starts of runs of equal keys, and the end."""
     new = np.zeros(len(keys[0]), bool)
@@ -128,11 +136,8 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pie
     shuffled once, to their pieces. A piece is chosen by a hash of the row and of the task that read it, so neither a
     common length nor a group of copies fills one task.
     """
-    counted = docs.select(
-        F.col(f"`{doc_id}`").cast("long").alias("d"),
-        texts_as_bytes(F.col(f"`{text}`")).alias("t"),
-        F.regexp_count(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), F.lit(TERM)).cast("long").alias("n"),
-    ).where("n > 0")
+    whole = docs.select(F.col(f"`{doc_id}`").cast("long").alias("d"), texts_as_bytes(F.col(f"`{text}`")).alias("t"))
+    counted = with_columns(whole, "t", T.StructType([T.StructField("n", T.LongType())]), lambda: _counts).where("n > 0")
     lengths = materialize(counted.groupBy("n").agg(F.count("*").alias("docs"), F.sum(F.length("t")).alias("bytes")), "lengths")
     totals = lengths.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("documents"), F.coalesce(F.sum(F.col("n") * F.col("docs")), F.lit(1)).alias("terms")).first()
     normaliser = F.expr(f"75L + (25L * n * {totals.documents}L) div {totals.terms}L")
