@@ -207,9 +207,13 @@ def _zscore_global(profile: str) -> str:
     WHERE daily_transaction_count > an + 3 * sn OR cast(daily_total_amount AS double) > ta + 3 * st"""
 
 
-def _iqr_global(profile: str, quantile: str = "quantile_cont") -> str:
+def _iqr_global(profile: str, quantile: str = "quantile_cont", sample: int | None = None) -> str:
     count, total = "cast(daily_transaction_count AS double)", "cast(daily_total_amount AS double)"
-    return f"""SELECT {_OUT} FROM ({profile}), (
+    given = profile
+    if sample:
+        profile = f"""SELECT * FROM ({given})
+          ORDER BY md5(concat_ws('|', cast(client_id AS varchar), cast(transaction_day AS varchar))) LIMIT {sample}"""
+    return f"""SELECT {_OUT} FROM ({given}), (
       SELECT {quantile}({count}, 0.25) AS n1, {quantile}({count}, 0.75) AS n3,
         {quantile}({total}, 0.25) AS t1, {quantile}({total}, 0.75) AS t3 FROM ({profile}))
     WHERE {count} < n1 - 1.5 * (n3 - n1) OR {count} > n3 + 1.5 * (n3 - n1)
@@ -302,6 +306,19 @@ def _too_long(source: str, column: str, length: int) -> str:
     return _dq("max_length", column, f"SELECT count(*) FROM {source} WHERE length({column}) > {length}")
 
 
+# which rows of a table go with every seventh client and the roubles
+_GONE_CLIENT = "coalesce(client_id % 7 = 2 AND client_id IN (SELECT client_id FROM dds_clients), false)"
+_GONE_CURRENCY = "coalesce(currency IN (SELECT currency_id FROM dim_currency WHERE currency_name = 'RUB'), false)"
+
+
+def _gone(name: str) -> str:
+    if name == "currencies":
+        return "(currency_name = 'RUB')"
+    if name in ("payments", "transactions"):
+        return f"({_GONE_CLIENT} OR {_GONE_CURRENCY})"
+    return f"({_GONE_CLIENT})" if name in ("clients", "clients_activity", "logins") else "false"
+
+
 _LOGINS_CSV = """SELECT concat(cast(client_id AS varchar)) AS client_id,
   CASE WHEN login_date IS NOT NULL THEN strftime(login_date, '%Y-%m-%dT%H:%M:%S.') || '000Z' END AS login_date,
   ip_address, location, device"""
@@ -316,6 +333,8 @@ def _bodies() -> dict[str, str]:
         "ano_iqr_global_orders": _iqr_global(_ORDERS),
         "ano_iqr_global_lineitem": _iqr_global(_ITEMS),
         "ano_iqr_global_sketch": _iqr_global(_EVENTS, "quantile_disc"),
+        "ano_iqr_sampled": _iqr_global(_ORDERS, sample=512),
+        "ano_iqr_sampled_whole": _iqr_global(_EVENTS),
         "daily_profile": f"SELECT {_OUT} FROM ({_ORDERS})",
         "ano_zscore_by_day": _zscore_by_day("FROM events", "user_id", "ts", "value", 6),
         "day_window_stats": _day_stats("FROM events", "user_id", "ts", "value", 6),
@@ -400,13 +419,18 @@ def _bodies() -> dict[str, str]:
         "refresh_zscore_global": _zscore_global(_MART),
         "refresh_iqr_global": _iqr_global(_MART),
         "mart_zscore_by_day": _zscore_by_day("FROM mart_payment", "client_id", "payment_date", "total_amount", 4),
+        "mart_zscore_by_day_eager": _zscore_by_day("FROM mart_payment", "client_id", "payment_date", "total_amount", 4),
+        "mart_profile_eager": f"""SELECT {_OUT} FROM
+          ({_profile("mart_payment", "client_id", "payment_date", "payment_id", "total_amount")})""",
+        "mart_activity_profile_eager": """SELECT client_id, cast(activity_date AS date) AS activity_day, count(*) AS mart_rows
+          FROM mart_activity GROUP BY ALL""",
         **{f"raw_{name}": f"SELECT * FROM raw_{name}" for name in ENTITIES},
         "csv_typed_scan": """SELECT * REPLACE (CASE WHEN client_id <> 'NaN' THEN cast(client_id AS double) END AS client_id)
           FROM raw_clients""",
         "json_message_files": "SELECT * FROM orders",
         "json_inferred_schema": "SELECT * FROM customer",
         "json_fallback_schema": "SELECT cast(NULL AS bigint) AS c_custkey, cast(NULL AS varchar) AS c_name FROM customer",
-        "refresh_overwrite": "SELECT * FROM orders",
+        "refresh_overwrite": "SELECT *, 2 AS versions, 3 AS newest FROM orders",
         "layout_distributed": "SELECT * FROM orders",
         "layout_bucketed": "SELECT o_orderkey, c_name, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey",
         "layout_sorted": "SELECT * FROM lineitem",
@@ -447,6 +471,13 @@ def _bodies() -> dict[str, str]:
                 for name in ("clients_activity", "logins", "payments", "transactions")
             ]
         ),
+        "star_cascade": " UNION ALL ".join(
+            f"""SELECT '{name}' AS table_name, (SELECT count(*) FROM {source} WHERE NOT {_gone(name)}) AS rows_left,
+              (SELECT count(*) FROM {source} WHERE {_gone(name)}) AS rows_removed"""
+            for name, (source, _) in _STAR.items()
+        ),
+        "star_cascade_payments": f"""SELECT * REPLACE (cast(amount AS double) AS amount) FROM fact_payment
+          WHERE NOT {_gone("payments")}""",
         "fi_missing": """SELECT * REPLACE (CASE WHEN o_orderkey % 25 <> 1 THEN o_custkey END AS o_custkey,
           CASE WHEN o_orderkey % 25 <> 1 THEN o_totalprice END AS o_totalprice) FROM orders""",
         "fi_dates": """SELECT * REPLACE (CASE WHEN o_orderkey % 20 = 1 THEN cast(make_date(

@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 
 from checks.standins import ORDER_BOUNDS, raw, raw_tables, source_stream, table
 from riskflow.functions import casts, ip, text, wire
-from riskflow.operators import clean, dims, faults, joins, quality, stats
+from riskflow.operators import cascade, clean, dims, faults, joins, quality, stats
 from riskflow.plans import anomaly, dds, dm, ods, publish, refresh
 from riskflow.schemas import ACTIVITY, CLIENTS, ENTITIES, LOGINS, PAYMENTS, TRANSACTIONS
 from riskflow.session import materialize, together, work_path
-from riskflow.sources import readers, writers
+from riskflow.sources import readers, versions, writers
 from riskflow.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,8 @@ _add("ano_iqr_global", lambda s, d: plain(anomaly.iqr_global(events_profile(s, d
 _add("ano_iqr_global_orders", lambda s, d: plain(anomaly.iqr_global(orders_profile(s, d))))
 _add("ano_iqr_global_lineitem", lambda s, d: plain(anomaly.iqr_global(lineitem_profile(s, d))))
 _add("ano_iqr_global_sketch", lambda s, d: plain(anomaly.iqr_global(events_profile(s, d), exact=False)))
+_add("ano_iqr_sampled", lambda s, d: plain(anomaly.iqr_global(orders_profile(s, d), sample=512)))
+_add("ano_iqr_sampled_whole", lambda s, d: plain(anomaly.iqr_global(events_profile(s, d), sample=1 << 20)))
 _add("daily_profile", lambda s, d: plain(orders_profile(s, d)))
 
 _DAY_STATS = ("avg_transaction_count", "stddev_transaction_count", "avg_total_amount", "stddev_total_amount")
@@ -372,6 +374,31 @@ def mart_zscore_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found, 4, "total_transaction_amount", *_DAY_STATS)
 
 
+def _payment_parts(s: SparkSession, d: str) -> tuple[DataFrame, ...]:
+    """Payments, clients, currencies, payment methods and transactions, stored."""
+    currencies = materialize(_currencies(s, d), "currencies")
+    _, methods, payments = _fact("payments", lambda: _payment_star(s, d))
+    transactions = materialize(_transaction_star(s, d, currencies)[-1], "transactions")
+    return payments, materialize(_clients(s, d), "clients"), currencies, methods, transactions
+
+
+@_query
+def mart_zscore_by_day_eager(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``mart_zscore_by_day`` without the rows of the mart."""
+    found = anomaly.zscore_of_days(anomaly.payment_mart_days(*_payment_parts(spark, sf_dir)))
+    return rounded(found, 4, "total_transaction_amount", *_DAY_STATS)
+
+
+_add("mart_profile_eager", lambda s, d: plain(anomaly.payment_mart_profile(*_payment_parts(s, d))))
+
+
+@_query
+def mart_activity_profile_eager(spark: SparkSession, sf_dir: str) -> DataFrame:
+    types, activity = _fact("activity", lambda: _activity_star(spark, sf_dir))
+    clients, logins = (materialize(f(spark, sf_dir), "side") for f in (_clients, _logins))
+    return anomaly.activity_mart_profile(activity, types, clients, logins)
+
+
 # --- storage ------------------------------------------------------------------------------------------------
 
 
@@ -423,11 +450,14 @@ def json_fallback_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def refresh_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table loaded twice holds the rows of one load."""
+    """A table loaded three times, at last from itself, holds the rows of one load; the newest two versions stay."""
     path = work_path(spark, "orders")
     orders = table(spark, sf_dir, "orders")
     writers.write_refresh(orders, path)
-    return writers.write_refresh(table(spark, sf_dir, "orders"), path, orders.schema)
+    writers.write_refresh(table(spark, sf_dir, "orders"), path, orders.schema)
+    writers.write_refresh(readers.read_table(spark, path), path)
+    there = versions.versions(spark, path)
+    return readers.read_table(spark, path).withColumns({"versions": F.lit(len(there)), "newest": F.lit(there[-1].number)})
 
 
 @_query
@@ -614,6 +644,30 @@ def refresh_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh.star_checks(refresh.refresh_dds(typed, root, bounds))
 
 
+def _cascaded(spark: SparkSession, sf_dir: str) -> cascade.Cascade:
+    """A refreshed star schema without every seventh client and the roubles."""
+    root = work_path(spark, "cascade")
+    bounds = {"logins": ORDER_BOUNDS, "transactions": ORDER_BOUNDS}
+    star = refresh.refresh_dds(refresh.refresh_ods(raw_tables(spark, sf_dir), root), root, bounds)
+    doomed = {
+        "clients": star["clients"].where("client_id % 7 = 2").select("client_id"),
+        "currencies": star["currencies"].where("currency_name = 'RUB'").select("currency_id"),
+    }
+    return refresh.delete_from_star(star, root, doomed)[1]
+
+
+@_query
+def star_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows left and removed per table."""
+    return cascade.delete_counts(_cascaded(spark, sf_dir))
+
+
+@_query
+def star_cascade_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payments that are left."""
+    return plain(_cascaded(spark, sf_dir).left["payments"])
+
+
 # --- planted defects ----------------------------------------------------------------------------------------
 
 

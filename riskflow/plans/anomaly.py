@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 
 from riskflow.functions.casts import MONEY_TYPE
 from riskflow.operators.clean import require
-from riskflow.operators.stats import approx_quantiles, exact_quantiles, mean_and_deviation, with_day_stats
+from riskflow.operators.eager import aggregate_fan_out
+from riskflow.operators.stats import (
+    approx_quantiles,
+    exact_quantiles,
+    mean_and_deviation,
+    sampled_quantiles,
+    with_day_stats,
+)
 from riskflow.session import materialize
 
 SUM_TYPE = "decimal(28,6)"
@@ -32,6 +39,50 @@ def daily_profile(
     )
 
 
+def payment_mart_rows(payments: DataFrame, currencies: DataFrame, methods: DataFrame) -> DataFrame:
+    """The payments that have a row in the payment mart as far as their dimensions decide."""
+    known = payments.join(currencies, F.col("currency") == F.col("currency_id"), "left_semi")
+    return known.join(methods, F.col("payment_method") == F.col("payment_method_id"), "left_semi")
+
+
+def payment_mart_profile(
+    payments: DataFrame, clients: DataFrame, currencies: DataFrame, methods: DataFrame, transactions: DataFrame
+) -> DataFrame:
+    """``daily_profile`` of the payment mart, from the star schema and without the mart's rows."""
+    return aggregate_fan_out(
+        payment_mart_rows(payments, currencies, methods),
+        [clients, transactions],
+        "client_id",
+        {"transaction_day": F.to_date("payment_date")},
+        {COUNT: F.col("payment_id")},
+        {TOTAL: F.col("amount").try_cast(MONEY_TYPE)},
+    )
+
+
+def payment_mart_days(
+    payments: DataFrame, clients: DataFrame, currencies: DataFrame, methods: DataFrame, transactions: DataFrame
+) -> DataFrame:
+    """``client_days`` of the payment mart, from the star schema and without the mart's rows."""
+    rows = require(payment_mart_rows(payments, currencies, methods), ["client_id", "payment_date", "amount"])
+    days = aggregate_fan_out(
+        rows,
+        [clients, transactions],
+        "client_id",
+        {"transaction_date": F.to_date("payment_date")},
+        {"transaction_count": F.col("amount")},
+        {"total_transaction_amount": F.col("amount").try_cast(SUM_TYPE)},
+    )
+    return days.withColumn("client_id", F.col("client_id").cast("string"))
+
+
+def activity_mart_profile(activity: DataFrame, types: DataFrame, clients: DataFrame, logins: DataFrame) -> DataFrame:
+    """Rows of the activity mart per client and day of the activity, without the mart's rows."""
+    known = activity.join(types, F.col("activity_type") == F.col("activity_type_id"), "left_semi")
+    return aggregate_fan_out(
+        known, [clients, logins], "client_id", {"activity_day": F.to_date("activity_date")}, {"mart_rows": F.lit(1)}, {}
+    )
+
+
 def zscore_global(profile: DataFrame, k: float = 3.0) -> DataFrame:
     """Client days whose count or sum is more than ``k`` sample deviations above the overall mean."""
     measures = {"n": F.col(COUNT), "total": F.col(TOTAL)}
@@ -43,15 +94,19 @@ def zscore_global(profile: DataFrame, k: float = 3.0) -> DataFrame:
     return profile.where(above("n", F.col(COUNT)) | above("total", F.col(TOTAL)))
 
 
-def iqr_global(profile: DataFrame, k: float = 1.5, exact: bool = True) -> DataFrame:
+def iqr_global(profile: DataFrame, k: float = 1.5, exact: bool = True, sample: int | None = None) -> DataFrame:
     """Client days whose count or sum lies more than ``k`` quartile ranges outside the quartiles.
 
-    The profile is written once, because the quartiles need several passes over its two measures. The fences
-    are then plain numbers that push down to that table.
+    With ``sample`` the quartiles are those of so many client days, interpolated; otherwise they are exact, or values
+    of a sketch. The profile is written once, because the quartiles need several passes over its two measures. The
+    fences are then plain numbers that push down to that table.
     """
     profile = materialize(profile, "profile")
-    find = exact_quantiles if exact else approx_quantiles
-    quartiles = find(profile, [COUNT, TOTAL], [0.25, 0.75])
+    if sample:
+        quartiles = sampled_quantiles(profile, [COUNT, TOTAL], [0.25, 0.75], ["client_id", "transaction_day"], sample)
+    else:
+        find = exact_quantiles if exact else approx_quantiles
+        quartiles = find(profile, [COUNT, TOTAL], [0.25, 0.75])
 
     def outside(name: str) -> Column:
         low, high = quartiles[name]
@@ -94,7 +149,11 @@ def zscore_by_day(
     k: float = 2.0,
 ) -> DataFrame:
     """Client days above ``k`` sample deviations of the clients of that day, with the day's statistics."""
-    days = client_days(relevant_columns(df, client, at, amount))
+    return zscore_of_days(client_days(relevant_columns(df, client, at, amount)), k)
+
+
+def zscore_of_days(days: DataFrame, k: float = 2.0) -> DataFrame:
+    """As ``zscore_by_day``, from counts and sums per client and day."""
     measures = {"transaction_count": F.col("transaction_count"), "total_amount": F.col("total_transaction_amount")}
     scored = with_day_stats(days, "transaction_date", measures)
 

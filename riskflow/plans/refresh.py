@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.operators import quality
+from riskflow.operators.cascade import Cascade, Reference, cascade_delete
 from riskflow.operators.joins import Splits
 from riskflow.plans import dds, dm, ods, publish
 from riskflow.schemas import DATE_BOUNDS
@@ -32,6 +33,18 @@ STAR_KEYS = {
     "transactions": ["transaction_id"],
 }
 FACTS = ("clients_activity", "logins", "payments", "transactions")
+# The references between the tables of the star schema.
+STAR_REFERENCES = [
+    Reference("clients_activity", "client_id", "clients", "client_id"),
+    Reference("clients_activity", "activity_type", "activity_types", "activity_type_id"),
+    Reference("logins", "client_id", "clients", "client_id"),
+    Reference("payments", "client_id", "clients", "client_id"),
+    Reference("payments", "currency", "currencies", "currency_id"),
+    Reference("payments", "payment_method", "payment_methods", "payment_method_id"),
+    Reference("transactions", "client_id", "clients", "client_id"),
+    Reference("transactions", "currency", "currencies", "currency_id"),
+    Reference("transactions", "transaction_type", "transaction_types", "transaction_type_id"),
+]
 
 
 def _store(root: str, loads: Mapping[str, Callable[[], DataFrame]]) -> Tables:
@@ -100,6 +113,17 @@ def star_checks(star: Mapping[str, DataFrame]) -> DataFrame:
     return quality.all_checks(*keys, *owned)
 
 
+def delete_from_star(star: Mapping[str, DataFrame], root: str, doomed: Mapping[str, DataFrame]) -> tuple[Tables, Cascade]:
+    """Delete rows of the stored star schema and all facts that refer to them; the tables as replaced.
+
+    ``doomed`` maps a table to the keys that go. Only tables that lose rows are written, each from itself.
+    """
+    done = cascade_delete(star, STAR_REFERENCES, doomed)
+    touched = [n for n in star if not done.removed[n].isEmpty()]
+    written = _store(f"{root}/dds", {n: lambda n=n: done.left[n] for n in touched}) if touched else {}
+    return dict(star) | written, done
+
+
 def require_unique_clients(clients: DataFrame) -> None:
     """Stop where a client id repeats: each mart row of this client would multiply.
 

@@ -6,9 +6,12 @@ from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.schemas import Entity
+from riskflow.sources.records import ESCAPE, read_records
+from riskflow.sources.versions import current, read_version
 
 # Replay from the start and go on when the broker has dropped old messages.
 KAFKA_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
@@ -54,9 +57,12 @@ def read_json_inferred(spark: SparkSession, path: str, fallback: T.StructType) -
 
 
 def _csv(spark: SparkSession, path: str, entity: Entity, schema: T.StructType) -> DataFrame:
-    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-    # Files with line breaks inside values cannot be split, so only entities that have them pay for it.
-    return reader.option("multiLine", entity.multiline).option("escape", "\\").csv(path)
+    options = {"mode": "PERMISSIVE", "escape": ESCAPE}
+    if not entity.multiline:
+        return spark.read.schema(schema).option("header", True).options(**options).csv(path)
+    # Spark's own reader takes a whole file per task where values hold line breaks
+    parsed = read_records(spark, path).select(F.from_csv("record", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields), options).alias("r"))
+    return parsed.select(*[F.col("r")[n].alias(n) for n in schema.fieldNames()])
 
 
 def read_text_csv(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
@@ -87,9 +93,13 @@ def read_jdbc(
 
 
 def read_table(spark: SparkSession, source: str | Mapping[str, object]) -> DataFrame:
-    """One entry for stored tables: a path of parquet files, a catalog name, or the arguments of ``read_jdbc``."""
+    """One entry for stored tables: a path, a catalog name, or the arguments of ``read_jdbc``.
+
+    A path with versions gives the current one, any other path its parquet files.
+    """
     if isinstance(source, Mapping):
         return read_jdbc(spark, **source)
     if "/" in source:
-        return spark.read.parquet(source)
+        found = current(spark, source)
+        return read_version(spark, source, found) if found else spark.read.parquet(source)
     return spark.table(source)

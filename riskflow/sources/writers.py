@@ -1,4 +1,7 @@
-"""Writers. All replace the target as a whole, so a load that is repeated gives the same table."""
+"""Writers. All replace the target as a whole, so a load that is repeated gives the same table.
+
+Stored tables are replaced by versions (``versions.py``): the old rows stay until the new ones are all there.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.functions.wire import encode_messages
+from riskflow.sources.versions import replace
 
 # Fixed value: column files are compressed with zstd.
 COMPRESSION = "zstd"
@@ -50,9 +54,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def write_refresh(df: DataFrame, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Replace the table at ``path`` and return it as stored."""
-    whole = conform(df, schema) if schema else df
-    whole.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
-    return df.sparkSession.read.schema(whole.schema).parquet(path)
+    return replace(conform(df, schema) if schema else df, path, COMPRESSION)
 
 
 def write_distributed(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
