@@ -319,6 +319,60 @@ def _gone(name: str) -> str:
     return f"({_GONE_CLIENT})" if name in ("clients", "clients_activity", "logins") else "false"
 
 
+def _rules(*cases: tuple[str, str]) -> str:
+    return "CASE " + " ".join(f"WHEN {broken} THEN '{name}'" for name, broken in cases) + " END"
+
+
+def _judged(name: str) -> str:
+    """The typed rows of a star table with the first rule that each breaks."""
+
+    def missing(*columns: str) -> list[tuple[str, str]]:
+        return [(f"not_null:{c}", f"{c} IS NULL") for c in columns]
+
+    def outside(column: str, bounds: tuple[str, str]) -> tuple[str, str]:
+        return f"date_range:{column}", f"NOT coalesce({_between(column, bounds)}, false)"
+
+    def long(entity: str) -> list[tuple[str, str]]:
+        return [(f"max_length:{c}", f"length({c}) > {n}") for c, n in ENTITIES[entity].lengths.items()]
+
+    def unknown(column: str, dim: str) -> tuple[str, str]:
+        return f"known:{column}", f"{column} IS NULL OR {column} NOT IN (SELECT {dim}_name FROM dim_{dim})"
+
+    def first(source: str, keys: str, order: list[str], cases: list[tuple[str, str]]) -> str:
+        ranked = f"row_number() OVER (PARTITION BY {keys}, rule IS NULL ORDER BY {_nulls_first(*order)})"
+        return f"""SELECT * EXCLUDE (rule), CASE WHEN rule IS NULL AND {ranked} > 1 THEN 'primary_key' ELSE rule END AS broken_rule
+          FROM (SELECT *, {_rules(*cases)} AS rule FROM {source})"""
+
+    def names(source: str, column: str, dim: str) -> str:
+        return f"SELECT DISTINCT {column}, CASE WHEN {unknown(column, dim)[1]} THEN 'name:{column}' END AS broken_rule FROM {source}"
+
+    if name == "clients":
+        return f"SELECT *, {_rules(*missing('client_id'), *long('clients'))} AS broken_rule FROM ods_clients"
+    if name == "clients_activity":
+        cases = [*missing("client_id", "activity_date"), outside("activity_date", DATE_BOUNDS), *long(name), unknown("activity_type", "activity_type")]
+        order = ["activity_type", _blank("activity_location"), "ip_address", _blank("device"), "activity_location", "device"]
+        return first("ods_activity", "client_id, activity_date", order, cases)
+    if name == "logins":
+        cases = [*missing("client_id", "login_date"), outside("login_date", ORDER_BOUNDS), *long(name)]
+        return first("ods_logins", "client_id, login_date", ["ip_address", _blank("location"), _blank("device"), "location", "device"], cases)
+    if name == "payments":
+        cases = [*missing("payment_id"), outside("payment_date", DATE_BOUNDS), *long(name)]
+        cases += [unknown("currency", "currency"), unknown("payment_method", "payment_method")]
+        return first("ods_payments", "payment_id", ["client_id", "payment_date", "currency", "amount", "payment_method"], cases)
+    if name == "transactions":
+        cases = [*missing("transaction_id"), outside("transaction_date", ORDER_BOUNDS), *long(name)]
+        cases += [unknown("currency", "currency"), unknown("transaction_type", "transaction_type")]
+        order = ["client_id", "transaction_date", "transaction_type", _blank("account_number"), "currency", "amount", "account_number", "record_saved_at"]
+        return first("ods_transactions", "transaction_id", order, cases)
+    source, column, dim = {
+        "activity_types": ("ods_activity", "activity_type", "activity_type"),
+        "currencies": ("ods_payments", "currency", "currency"),
+        "payment_methods": ("ods_payments", "payment_method", "payment_method"),
+        "transaction_types": ("ods_transactions", "transaction_type", "transaction_type"),
+    }[name]
+    return names(source, column, dim)
+
+
 _LOGINS_CSV = """SELECT concat(cast(client_id AS varchar)) AS client_id,
   CASE WHEN login_date IS NOT NULL THEN strftime(login_date, '%Y-%m-%dT%H:%M:%S.') || '000Z' END AS login_date,
   ip_address, location, device"""
@@ -478,6 +532,13 @@ def _bodies() -> dict[str, str]:
         ),
         "star_cascade_payments": f"""SELECT * REPLACE (cast(amount AS double) AS amount) FROM fact_payment
           WHERE NOT {_gone("payments")}""",
+        "refresh_rejects": " UNION ALL ".join(
+            [f"SELECT '{n}' AS table_name, broken_rule, count(*) AS rows FROM ({_judged(n)}) WHERE broken_rule IS NOT NULL GROUP BY ALL" for n in _STAR]
+            + [f"SELECT '{n}' AS table_name, '' AS broken_rule, count(*) AS rows FROM {source}" for n, (source, _) in _STAR.items()]
+        ),
+        "rejects_payments": f"SELECT * REPLACE (cast(amount AS double) AS amount) FROM ({_judged('payments')}) WHERE broken_rule IS NOT NULL",
+        "rejects_transactions": f"SELECT * REPLACE (cast(amount AS double) AS amount) FROM ({_judged('transactions')}) WHERE broken_rule IS NOT NULL",
+        "rejects_accepted_transactions": _plain("fact_transaction", "amount"),
         "fi_missing": """SELECT * REPLACE (CASE WHEN o_orderkey % 25 <> 1 THEN o_custkey END AS o_custkey,
           CASE WHEN o_orderkey % 25 <> 1 THEN o_totalprice END AS o_totalprice) FROM orders""",
         "fi_dates": """SELECT * REPLACE (CASE WHEN o_orderkey % 20 = 1 THEN cast(make_date(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from checks.standins import ORDER_BOUNDS, raw, raw_tables, source_stream, table
 from riskflow.functions import casts, ip, text, wire
-from riskflow.operators import cascade, clean, dims, faults, joins, quality, stats
+from riskflow.operators import cascade, clean, dims, faults, joins, quality, rejects, stats
 from riskflow.plans import anomaly, dds, dm, ods, publish, refresh
 from riskflow.schemas import ACTIVITY, CLIENTS, ENTITIES, LOGINS, PAYMENTS, TRANSACTIONS
 from riskflow.session import materialize, together, work_path
@@ -202,7 +202,7 @@ def json_parse_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def schema_driven_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = raw(spark, sf_dir, "payments")
-    return plain(rows.select(*wire.typed_columns(PAYMENTS.wire_schema)))
+    return plain(rows.select(*wire.typed_columns(rows.schema, PAYMENTS.typed_schema)))
 
 
 @_query
@@ -644,6 +644,28 @@ def refresh_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh.star_checks(refresh.refresh_dds(typed, root, bounds))
 
 
+def _judged(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    root = work_path(spark, "judged")
+    bounds = {"logins": ORDER_BOUNDS, "transactions": ORDER_BOUNDS}
+    return refresh.refresh_dds_with_rejects(refresh.refresh_ods(raw_tables(spark, sf_dir), root), root, bounds)
+
+
+@_query
+def refresh_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows of each table were accepted, and how many broke which rule."""
+    star, refused = _judged(spark, sf_dir)
+    counts = rejects.reject_counts(refused)
+    for name, df in star.items():
+        kept = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), F.lit("").alias(rejects.RULE), "rows")
+        counts = counts.unionAll(kept)
+    return counts
+
+
+_add("rejects_payments", lambda s, d: plain(_judged(s, d)[1]["payments"]))
+_add("rejects_transactions", lambda s, d: plain(_judged(s, d)[1]["transactions"]))
+_add("rejects_accepted_transactions", lambda s, d: plain(_judged(s, d)[0]["transactions"]))
+
+
 def _cascaded(spark: SparkSession, sf_dir: str) -> cascade.Cascade:
     """A refreshed star schema without every seventh client and the roubles."""
     root = work_path(spark, "cascade")

@@ -33,14 +33,9 @@ def decode_messages(df: DataFrame, schema: T.StructType, value: str = "raw_data"
     return df.select(F.inline(F.array(F.from_json(F.col(value), schema))))
 
 
-def typed_columns(schema: T.StructType) -> list[Column]:
-    """Names holding ``date`` or ``birthday`` become timestamps, text passes, the rest is cast or null."""
-    columns = []
-    for f in schema.fields:
-        c = F.col(f.name)
-        if "date" in f.name or "birthday" in f.name:
-            c = c.try_cast("timestamp")
-        elif not isinstance(f.dataType, T.StringType):
-            c = c.try_cast(f.dataType)
-        columns.append(c.alias(f.name))
-    return columns
+def typed_columns(given: T.StructType, target: T.StructType) -> list[Column]:
+    """The fields of ``target``, cast where the given type differs; what does not fit is null."""
+    return [
+        (F.col(f.name) if given[f.name].dataType == f.dataType else F.col(f.name).try_cast(f.dataType)).alias(f.name)
+        for f in target.fields
+    ]

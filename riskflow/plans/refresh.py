@@ -103,6 +103,49 @@ def refresh_dds(
     return dims | facts
 
 
+def refresh_dds_with_rejects(
+    typed: Mapping[str, DataFrame],
+    root: str,
+    bounds: Mapping[str, tuple[str, str]] | None = None,
+    unique_clients: bool = False,
+) -> tuple[Tables, Tables]:
+    """As ``refresh_dds``, with the rejected rows of all nine tables and the rule that each breaks.
+
+    Every typed row is accepted or rejected, those outside the date bounds too. With ``unique_clients``, rows of a
+    repeated client id after the first are rejected, so the marts can be built.
+    """
+    limits = {n: DATE_BOUNDS for n in FACTS} | dict(bounds or {})
+    clients = dds.judged_clients(typed["clients"], unique_clients)
+    dims = _store(
+        f"{root}/dds",
+        {
+            "clients": lambda: clients.accepted,
+            "activity_types": lambda: dds.dim_activity_types(typed["clients_activity"]),
+            "currencies": lambda: dds.dim_currencies(typed["payments"]),
+            "payment_methods": lambda: dds.dim_payment_methods(typed["payments"]),
+            "transaction_types": lambda: dds.dim_transaction_types(typed["transactions"]),
+        },
+    )
+    currencies = dims["currencies"]
+    judged = together(
+        {
+            "clients_activity": lambda: dds.judged_activity(
+                typed["clients_activity"], dims["activity_types"], limits["clients_activity"]
+            ),
+            "logins": lambda: dds.judged_logins(typed["logins"], limits["logins"]),
+            "payments": lambda: dds.judged_payments(
+                typed["payments"], currencies, dims["payment_methods"], limits["payments"]
+            ),
+            "transactions": lambda: dds.judged_transactions(
+                typed["transactions"], currencies, dims["transaction_types"], limits["transactions"]
+            ),
+        }
+    )
+    facts = _store(f"{root}/dds", {n: lambda n=n: judged[n].accepted for n in FACTS})
+    refused = {"clients": clients.rejected} | dds.rejected_names(typed, dims) | {n: judged[n].rejected for n in FACTS}
+    return dims | facts, _store(f"{root}/rejects", {n: lambda n=n: refused[n] for n in refused})
+
+
 def star_checks(star: Mapping[str, DataFrame]) -> DataFrame:
     """(check, target, violations) of the keys of all star tables and of the facts' references to clients."""
     keys = [quality.primary_key(star[t], k).withColumn("target", F.lit(f"{t}.{','.join(k)}")) for t, k in STAR_KEYS.items()]
@@ -168,11 +211,20 @@ def refresh_all(
     bounds: Mapping[str, tuple[str, str]] | None = None,
     splits: Splits = Splits(),
     unique_clients: bool = True,
+    keep_rejects: bool = False,
 ) -> dict[str, Tables]:
-    """All layers in order. A repeated client id stops it before the marts, unless ``unique_clients`` is off."""
+    """All layers in order. A repeated client id stops it before the marts, unless ``unique_clients`` is off.
+
+    With ``keep_rejects`` a repeated client id stops nothing: its further rows are rejected, and ``rejects`` holds
+    every row that a star table refuses, with the rule that it breaks.
+    """
     typed = refresh_ods(raw, root, strict)
-    star = refresh_dds(typed, root, bounds)
-    if unique_clients:
-        require_unique_clients(star["clients"])
+    layers = {"ods": typed}
+    if keep_rejects:
+        star, layers["rejects"] = refresh_dds_with_rejects(typed, root, bounds, unique_clients)
+    else:
+        star = refresh_dds(typed, root, bounds)
+        if unique_clients:
+            require_unique_clients(star["clients"])
     marts = refresh_dm(star, root, splits)
-    return {"ods": typed, "dds": star, "dm": marts, "published": refresh_published(marts, root)}
+    return layers | {"dds": star, "dm": marts, "published": refresh_published(marts, root)}

@@ -23,6 +23,7 @@ class Entity:
 
     name: str
     wire: dict[str, T.DataType]
+    instants: tuple[str, ...] = ()  # fields that come as text and are instants
     multiline: bool = False
     lengths: dict[str, int] = field(default_factory=dict)
 
@@ -34,6 +35,12 @@ class Entity:
     def wire_schema(self) -> T.StructType:
         return T.StructType([T.StructField(n, t, True) for n, t in self.wire.items()])
 
+    @property
+    def typed_schema(self) -> T.StructType:
+        """The wire's fields with the types that an ingested table has."""
+        own = dict.fromkeys(self.instants, T.TimestampType())
+        return T.StructType([T.StructField(n, own.get(n, t), True) for n, t in self.wire.items()])
+
     @property
     def text_schema(self) -> T.StructType:
         return T.StructType([T.StructField(n, T.StringType(), True) for n in self.wire])
@@ -51,6 +58,7 @@ CLIENTS = Entity(
         "client_address": _text,
         "client_birthday": _text,
     },
+    instants=("client_birthday",),
     multiline=True,
     lengths={"client_first_name": 50, "client_last_name": 50, "client_email": 255, "client_phone": 30},
 )
@@ -64,11 +72,13 @@ ACTIVITY = Entity(
         "ip_address": _text,
         "device": _text,
     },
+    instants=("activity_date",),
     lengths={"activity_type": 50, "activity_location": 255, "device": 255},
 )
 LOGINS = Entity(
     "logins",
     {"client_id": _real, "login_date": _text, "ip_address": _text, "location": _text, "device": _text},
+    instants=("login_date",),
     lengths={"location": 255, "device": 255},
 )
 PAYMENTS = Entity(
@@ -81,6 +91,7 @@ PAYMENTS = Entity(
         "amount": _real,
         "payment_method": _text,
     },
+    instants=("payment_date",),
     lengths={"currency": 10, "payment_method": 50},
 )
 TRANSACTIONS = Entity(
@@ -95,6 +106,7 @@ TRANSACTIONS = Entity(
         "amount": _real,
         "record_saved_at": _text,
     },
+    instants=("transaction_date",),
     lengths={"transaction_type": 50, "account_number": 100, "currency": 10, "record_saved_at": 50},
 )
 

@@ -39,7 +39,7 @@ def parse_landed(raw: DataFrame, entity: Entity, drop_keyless: bool = True) -> D
     rows = decode_messages(raw, entity.wire_schema)
     if drop_keyless:
         rows = drop_missing_key(rows, entity.key)
-    return rows.select(*typed_columns(entity.wire_schema))
+    return rows.select(*typed_columns(entity.wire_schema, entity.typed_schema))
 
 
 def ingest(
