@@ -477,14 +477,14 @@ def layout_distributed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layout_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders per customer from two tables bucketed alike, joined without a shuffle."""
     stamp = uuid.uuid4().hex
-    orders = writers.write_bucketed(
-        table(spark, sf_dir, "orders"), f"orders_{stamp}", work_path(spark, "orders"), "o_custkey", 8
-    )
-    customers = writers.write_bucketed(
-        table(spark, sf_dir, "customer"), f"customer_{stamp}", work_path(spark, "customer"), "c_custkey", 8
-    )
-    joined = orders.hint("merge").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    return joined.select("o_orderkey", "c_name", "o_totalprice")
+    names = {n: f"{n}_{stamp}" for n in ("orders", "customer")}
+    keys = {"orders": "o_custkey", "customer": "c_custkey"}
+    stored = {n: writers.write_bucketed(table(spark, sf_dir, n), names[n], work_path(spark, n), keys[n], 8) for n in names}
+    joined = stored["orders"].hint("merge").join(stored["customer"], F.col("o_custkey") == F.col("c_custkey"))
+    found = joined.select("o_orderkey", "c_name", "o_totalprice")
+    for name in names.values():  # the plan knows the files, which stay in the work folder
+        spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 @_query
@@ -581,12 +581,9 @@ def messages_dim_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def messages_fact_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payments whose currency or method is missing in the message are left out.
-
-    Without amounts: a number in a message is always valid, where the same text in a file may not be.
-    """
+    """Payments whose currency or method is missing in the message are left out."""
     typed = _payments_from_bare_messages(spark, sf_dir)
-    return plain(dds.fact_payments(typed, dds.dim_currencies(typed), dds.dim_payment_methods(typed)).drop("amount"))
+    return plain(dds.fact_payments(typed, dds.dim_currencies(typed), dds.dim_payment_methods(typed)))
 
 
 @_query
