@@ -42,6 +42,14 @@ def hot_pieces(left: DataFrame, right: DataFrame, key: str, splits: Splits = Spl
     return found.where("left_pieces > 1 or right_pieces > 1")
 
 
+def hot_left_pieces(left: DataFrame, key: str, splits: Splits = Splits()) -> DataFrame:
+    """As ``hot_pieces`` for a right side that is unique on the key: only the left rows decide, and only they are counted."""
+    n = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    most = min(splits.rows_per_task, splits.output_per_task)
+    many = n.where(F.col("_n") > most)
+    return many.select(key, F.ceil(F.col("_n") / most).cast("int").alias("left_pieces"), F.lit(1).alias("right_pieces"))
+
+
 def _spread(columns: Sequence[str], pieces: str) -> Column:
     # a hash of row values, not a random number: a task that is run again places its rows as before
     return F.pmod(F.xxhash64(*columns), F.col(pieces)).cast("int")
@@ -74,12 +82,24 @@ def fan_out_join(
     of a hot key together. Without hot keys it is a plain join and Catalyst picks its way. ``lookups`` must be unique
     on the key. Both inputs are counted per key first, so pass stored tables.
     """
-    pieces = materialize(hot_pieces(left, right, key, splits), "pieces")
-    if pieces.isEmpty():
+    return _grid_join(left, right, key, hot_pieces(left, right, key, splits), left_spread, right_spread, lookups)
+
+
+def _grid_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    pieces: DataFrame,
+    left_spread: Sequence[str],
+    right_spread: Sequence[str],
+    lookups: Sequence[DataFrame] = (),
+) -> DataFrame:
+    if pieces.isEmpty():  # nothing is written then
         for side in lookups:
             left = left.join(side, key)
         return left.join(right, key)
 
+    pieces = materialize(pieces, "pieces")
     keys = [key, "_lp", "_rp"]
     grid = _with_pieces(left, pieces, key).withColumn("_lp", _spread(left_spread, "_ls")).withColumn("_rp", _copies("_rs"))
     joined = grid.drop("_ls", "_rs")
@@ -95,4 +115,4 @@ def unique_join(
     left: DataFrame, right: DataFrame, key: str, left_spread: Sequence[str], splits: Splits = Splits()
 ) -> DataFrame:
     """Inner join with a right side that is unique on ``key``; left rows of hot keys are cut into pieces."""
-    return fan_out_join(left, right, key, left_spread, [key], splits=splits)
+    return _grid_join(left, right, key, hot_left_pieces(left, key, splits), left_spread, [key])
