@@ -84,7 +84,7 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = table(spark, sf_dir, "documents").select("doc_id", "text"), work_path(spark, "token_files")
     token_file.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"), end=2)
-    return token_file.read(spark, path).drop("ids")
+    return token_file.read(spark, path, with_ids=False)
 
 
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,20 +41,23 @@ SEGMENT_ARROW = pa.schema(
     [(n, pa.int64()) for n in ("part", "segment", "first", "n_ids")]
     + [("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("body", pa.binary())]
 )
-#: pieces of text whose ids a worker keeps, and the longest piece kept; when full they are forgotten and gathered anew
-KEPT_PIECES = 400_000
+#: words whose ids a worker keeps, and the longest kept; when full they are forgotten and gathered anew
+KEPT_WORDS = 1_000_000
 KEPT_CHARS = 40
 
-# Where the tokenizer of byte-level BPE never joins two characters: between a visible ASCII character or a letter and a
-# space, and between a letter and a following ASCII character that is none.
-_CUTS = re.compile(r"(?<=[!-~À-ÖØ-öø-ɏА-я])(?= )|(?<=[A-Za-zÀ-ÖØ-öø-ɏА-я])(?=[!-@\[-`{-~])")
-_JOINABLE = re.compile(r" (?s:.*)[!-~À-ÖØ-öø-ɏА-я]\Z")
+# The tokenizer of byte-level BPE never joins a space to what stands before it where a visible character follows.
+_VISIBLE = "!-~À-ÖØ-öø-ɏΑ-ΡΣ-Ωα-ωА-яء-غ가-힣一-龥ぁ-んァ-ヶ"
+# Nor a letter to a mark behind it.
+_CUTS = re.compile(f"(?= [{_VISIBLE}])")
+_MARKS = ".,;:!?)]\"'"
+_IS_LETTER = frozenset(c for c in map(chr, range(0x24F)) if re.match("[A-Za-zÀ-ÖØ-öø-ɏ]", c))
+_IS_VISIBLE = frozenset(c for c in map(chr, range(1 << 16)) if re.match(f"[{_VISIBLE}]", c))
 
 
 class Encoder:
     """Ids of texts by a tokenizer of the tokenizers library, without special tokens.
 
-    For byte-level BPE, texts are cut where no token can reach across, each different piece is encoded once by the
+    For byte-level BPE, texts are cut where no token can reach across, each different word is encoded once by the
     library, and its ids are kept; all other tokenizers get whole texts. Strings of special tokens are ordinary text.
     """
 
@@ -73,40 +76,75 @@ class Encoder:
         self.size = np.zeros(max(entries.values(), default=0) + 1, np.int64)
         for entry, i in entries.items():
             self.size[i] = len(entry)  # a character of an entry stands for a byte
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # ids of a space and the word
+        self.alone: dict[str, bytes] = {}  # ids of marks, and of first words of texts
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
-        # pieces between which a text would be cut are encoded as one text
-        spaced, others = [], []
-        for piece in dict.fromkeys(pieces):
-            (spaced if _JOINABLE.match(piece) else others).append(piece)
-        found = dict(zip(others, self._whole(others), strict=True))
-        if spaced:
-            ids = np.frombuffer(self._whole(["".join(spaced)])[0], self.kind)
-            ends = np.cumsum([len(piece.encode()) for piece in spaced])
-            upto = np.searchsorted(np.cumsum(self.size[ids]), ends) + 1
-            raw, width, start = ids.tobytes(), ids.itemsize, 0
-            for piece, end in zip(spaced, (upto * width).tolist(), strict=True):
-                found[piece] = raw[start:end]
-                start = end
+    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Ids of each word behind a space; marks behind its last letter are looked up apart."""
+        marked, plain = [], set()
+        for word in words:
+            stem = word.rstrip(_MARKS)
+            if stem != word and stem[-1:] in _IS_LETTER:
+                marked.append((word, stem, word[len(stem) :]))
+                if stem not in self.words:
+                    plain.add(stem)
+            else:
+                plain.add(word)
+        found = self._together(list(plain))
+        tails = self._alone({tail for *_, tail in marked})
+        for word, stem, tail in marked:
+            found[word] = (found[stem] if stem in found else self.words[stem]) + tails[tail]
         return found
 
+    def _alone(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces as whole texts."""
+        new = [piece for piece in pieces if piece not in self.alone]
+        found = dict(zip(new, self._whole(new), strict=True))
+        self.alone.update((piece, raw) for piece, raw in found.items() if len(piece) <= KEPT_CHARS)
+        return {piece: found[piece] if piece in found else self.alone[piece] for piece in pieces}
+
+    def _together(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each word behind a space, from one text of them all."""
+        if not words:
+            return {}
+        raw = self._whole([" " + " ".join(words)])[0]
+        ids = np.frombuffer(raw, self.kind)
+        ends = np.cumsum([len(word.encode()) + 1 for word in words])
+        upto = ((np.searchsorted(np.cumsum(self.size[ids]), ends) + 1) * ids.itemsize).tolist()
+        return {word: raw[a:b] for word, a, b in zip(words, [0, *upto], upto)}
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.cuts:
             return [np.frombuffer(raw, self.kind) for raw in self._whole(texts)]
-        split = [_CUTS.split(text) for text in texts]
-        if len(self.known) > KEPT_PIECES:
-            self.known.clear()
-        known = self.known
-        fresh = self._learn(piece for pieces in split for piece in pieces if piece not in known)
-        known.update((piece, raw) for piece, raw in fresh.items() if len(piece) <= KEPT_CHARS)
-        long = {piece: raw for piece, raw in fresh.items() if len(piece) > KEPT_CHARS}
-        if long:
-            return [np.frombuffer(b"".join([known.get(p) or long.get(p, b"") for p in pieces]), self.kind) for pieces in split]
-        return [np.frombuffer(b"".join([known[p] for p in pieces]), self.kind) for pieces in split]
+        if len(self.words) + len(self.alone) > KEPT_WORDS:
+            self.words.clear()
+            self.alone.clear()
+        known, split, found, fresh = self.words.get, [], [], set()
+        for text in texts:
+            head, *words = text.split(" ")
+            ids = list(map(known, words))
+            if None in ids:
+                new = [w for w, i in zip(words, ids) if i is None]
+                if not all(w[:1] in _IS_VISIBLE for w in new):  # such a word belongs to the one before it
+                    head, *words = _CUTS.split(text)
+                    words = [w[1:] for w in words]
+                    ids = list(map(known, words))
+                    new = [w for w, i in zip(words, ids) if i is None]
+                fresh.update(new)
+            split.append((head, words))
+            found.append(ids)
+        learned = self._learn(fresh)
+        first = self._alone({head for head, _ in split})
+        out = []
+        for (head, words), ids in zip(split, found, strict=True):
+            if None in ids:
+                ids = [learned[w] if i is None else i for w, i in zip(words, ids)]
+            out.append(np.frombuffer(first[head] + b"".join(ids), self.kind))
+        self.words.update((w, i) for w, i in learned.items() if len(w) <= KEPT_CHARS)
+        return out
 
 
 _encoders: dict[int, Encoder] = {}
@@ -180,13 +218,14 @@ def _segments(spark: SparkSession, path: str) -> DataFrame:
     return joined.withColumn("start", F.col("before") + F.col("first")).drop("before", "of_part")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32, ids) of every document of the files.
 
     ``start`` counts the ids before the document, ``ids`` are little-endian unsigned 32-bit integers with the end id,
-    and ``ids_crc32`` is their unsigned checksum, taken from the decoded ids.
+    and ``ids_crc32`` is their unsigned checksum, taken from the decoded ids. Without ``with_ids`` the last column is
+    left out, and the decoded ids stay in the task.
     """
-    out = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
+    out = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "n_tokens", "ids_crc32")] + [("ids", pa.binary())] * with_ids)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,12 +241,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                         [start + a for a, _ in cuts[at : at + 256]],
                         lengths[at : at + 256],
                         [zlib.crc32(r) for r in raw],
-                        raw,
+                        *([raw] * with_ids),
                     ]
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out)
 
     found = _segments(spark, path).select("start", "doc_ids", "lengths", "body")
-    return found.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+    return found.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 def read_span(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
