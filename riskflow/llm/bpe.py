@@ -201,7 +201,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with the bytes (binary) that the ids stand for. Null ids give empty bytes, an unknown id fails."""
     shared = df.sparkSession.sparkContext.broadcast({rank: entry for entry, rank in read_ranks(path).items()})
-    kept = [f for f in df.schema.fields if f.name != decoded]
+    kept = [f for f in df.schema.fields if f.name.lower() != decoded.lower()]
     plain = df.select(*[F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(kept)], F.col(ids).alias("t"))
     out = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(kept)] + [T.StructField("bytes", T.BinaryType())])
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm.components import components
 from riskflow.llm.vectors import bounded_sample
+from riskflow.llm.words import carried
 from riskflow.session import materialize
 
 
@@ -240,11 +241,11 @@ def near_duplicates(
     counted = members.join(links.withColumnRenamed("id", "cls"), "cls", "left")
     counted = counted.groupBy("id").agg((F.sum(F.coalesce("links", F.lit(0)) + F.col("copies")) - 1).alias("n_links"))
     counted = counted.join(groups, "id", "left").withColumnsRenamed({"id": "id__", "component_id": "group__", "n_links": "links__"})
-    kept = [F.col(f"`{c}`") for c in embeddings.columns if c.lower() not in ("n_links", "component_id", "kept")]
-    out = embeddings.select(*kept, F.col(f"`{vec_id}`").cast("long").alias("own__")).join(counted, F.col("own__") == F.col("id__"), "left")
+    there, back = carried(embeddings, ("n_links", "component_id", "kept"))
+    out = embeddings.select(*there, F.col(f"`{vec_id}`").cast("long").alias("own__")).join(counted, F.col("own__") == F.col("id__"), "left")
     component = F.coalesce("group__", "own__")
     return out.select(
-        *kept,
+        *back,
         F.coalesce("links__", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
         F.coalesce(component == F.col("own__"), F.lit(True)).alias("kept"),

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from riskflow.llm.perplexity import counted
 from riskflow.llm.vectors import PARTIAL, parts, pieces, summed
-from riskflow.llm.words import Words, chunks_of, crc_of, hash_words_and_ends, mix, positions_of, texts_as_bytes, with_columns
+from riskflow.llm.words import Words, carried, chunks_of, crc_of, hash_words_and_ends, mix, positions_of, texts_as_bytes, with_columns
 from riskflow.session import materialize
 
 BRANCH = 16  # classes, groups in a class, events in a group
@@ -378,7 +378,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", folds: in
         (F.col("base_hot") + tail_log - F.col("n_tokens") * float(np.log10(counts.tokens + counts.kinds + 1))).alias("base_score"),
         (F.col("event_score") + F.col("rare_hot") + tail_log).alias("score"),
     )
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")]
-    result = docs.select(*kept, key[0].alias("own_id__"), key[1].alias("own_row__"), out_of_sample)
+    there, back = carried(docs, ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"))
+    result = docs.select(*there, key[0].alias("own_id__"), key[1].alias("own_row__"), out_of_sample)
     result = result.join(sums, (F.col("own_id__") == F.col("id__")) & (F.col("own_row__") == F.col("row__")))
-    return result.select(*kept, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return result.select(*back, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.llm.components import components
-from riskflow.llm.words import Words, hash_words, in_chunks, mix, seeds, texts_as_bytes, with_columns
+from riskflow.llm.words import Words, carried, hash_words, in_chunks, mix, seeds, texts_as_bytes, with_columns
 from riskflow.session import materialize
 
 BITS = 1024  # of the bitmap that bounds an intersection from above
@@ -230,12 +230,12 @@ def near_duplicates(
     last = materialize(confirmed(materialize(pairs, "possible"), texts, size, percent), "links3")
     found = components(edges.unionByName(last).unionByName(copies), "id", "id2")
 
-    kept = [c for c in docs.columns if c.lower() not in ("n_shingles", "component_id", "kept")]
+    there, back = carried(docs, ("n_shingles", "component_id", "kept"))
     sizes = signed.select("id", "row", "n_shingles").distinct()
-    out = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{doc_id}`").cast("long").alias("id__"), F.xxhash64(F.col(f"`{text}`")).alias("row__"))
+    out = docs.select(*there, F.col(f"`{doc_id}`").cast("long").alias("id__"), F.xxhash64(F.col(f"`{text}`")).alias("row__"))
     sizes = sizes.join(found, "id", "left").select(
         F.col("id").alias("id2__"), F.col("row").alias("row2__"), "n_shingles", F.coalesce("component_id", "id").alias("component_id")
     )
     out = out.join(sizes, F.col("id__").eqNullSafe(F.col("id2__")) & (F.col("row__") == F.col("row2__")), "left")
     same_id = F.coalesce(F.col("id__") == F.col("component_id"), F.lit(True))
-    return out.select(*[F.col(f"`{c}`") for c in kept], "n_shingles", "component_id", same_id.alias("kept"))
+    return out.select(*back, "n_shingles", "component_id", same_id.alias("kept"))

@@ -142,6 +142,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def carried(df: DataFrame, replaced: Iterable[str] = ()) -> tuple[list[Column], list[Column]]:
+    """The columns of ``df`` under numbered names, which clash with none, and back; ``replaced`` ones are left out."""
+    names = set(replaced)
+    kept = [c for c in df.columns if c.lower() not in names]
+    return [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], [F.col(f"c{i}").alias(c) for i, c in enumerate(kept)]
+
+
 def with_columns(df: DataFrame, text: str, new: T.StructType, start: Callable[[], Callable[..., list[pa.Array]]], beside: str | None = None) -> DataFrame:
     """``df`` with columns computed from the texts of column ``text`` in Arrow batches of about a quarter megabyte.
 
