@@ -37,8 +37,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without runs of lines that stand earlier; one that is nothing but such runs goes.
 
-    A null text becomes empty, and texts without a line stay. Of equal rows and texts the first by id keeps its lines
-    (rows without an id count as last). ``n_chars`` follows a text that has lost lines. An empty table gives an empty one.
+    A null text becomes empty, and texts without a line stay. Of documents with equal lines the earlier keeps them; rows
+    of equal id and text are one document. ``n_chars`` follows a text that has lost lines. An empty table gives an empty one.
     """
     rows, back = _numbered(docs)
     cut = line_dedup.dedup(rows)
