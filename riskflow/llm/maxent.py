@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from riskflow.llm.perplexity import counted
 from riskflow.llm.vectors import PARTIAL, parts, pieces, summed
-from riskflow.llm.words import Words, carried, chunks_of, crc_of, hash_words_and_ends, mix, positions_of, texts_as_bytes, with_columns
+from riskflow.llm.words import Words, carried, chunks_of, crc_of, hash_words_and_ends, mix, positions_of, texts_as_bytes, top_counts, with_columns
 from riskflow.session import materialize
 
 BRANCH = 16  # classes, groups in a class, events in a group
@@ -69,7 +69,7 @@ def gather(train: DataFrame, counts: DataFrame) -> Counts:
     """``counts`` is (key, n) of the training words."""
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     ends = train.count()
-    top = counts.orderBy(F.desc("n"), "key").limit(HOT_WORDS).select("key", "n").toArrow()
+    top = top_counts(counts, HOT_WORDS).select("key", "n").toArrow()
     keys, n = np.asarray(top.column("key")).view(np.uint64), np.asarray(top.column("n"))
     model = np.sort(keys[:MODEL_WORDS])
     order = np.argsort(keys)

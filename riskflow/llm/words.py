@@ -138,6 +138,30 @@ def chunks_of(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[
         pa.default_memory_pool().release_unused()  # an idle worker holds on to no batch
 
 
+def top_counts(counts: DataFrame, size: int) -> DataFrame:
+    """The ``size`` rows of (key, n) with the largest n, ties by key; keys are 64-bit hashes.
+
+    A histogram of n (16 bins for each doubling, so at most 1024 rows) tells first which rows can be among them, so no
+    task gets ``size`` rows of every partition. Bins up to 71 hold a single n; there the keys are bounded too.
+    """
+    bar = F.floor(16 * F.log2("n")).cast("int")
+    bars = sorted(counts.groupBy(bar.alias("bar")).agg(F.count("*").alias("rows")).collect(), reverse=True)
+    held = 0
+    for r in bars:
+        if held + r.rows < size:
+            held += r.rows
+            continue
+        near = counts.where(bar >= r.bar)
+        share = (2 * (size - held) + 1000) / r.rows
+        if r.bar <= 71 and share < 1:
+            low = F.col("key") < -(1 << 63) + int(share * 2**64)
+            if counts.where((bar == r.bar) & low).count() >= size - held:
+                near = near.where((bar > r.bar) | low)
+        counts = near
+        break
+    return counts.orderBy(F.desc("n"), "key").limit(size)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
