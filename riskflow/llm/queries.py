@@ -66,8 +66,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity"]
-    return perplexity.judge(docs).select("doc_id", *made)
+    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_order", "log_perplexity"]
+    return perplexity.judge(docs, keep_text=False).select("doc_id", *made)
 
 
 def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
