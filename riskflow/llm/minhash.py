@@ -22,6 +22,7 @@ from riskflow.session import materialize
 
 BITS = 1024  # of the bitmap that bounds an intersection from above
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+PAIRS = pa.schema([("id", pa.int64()), ("id2", pa.int64())])
 
 
 def shingle_sets(words: Words, size: int) -> list[np.ndarray]:
@@ -170,6 +171,67 @@ def rivals(busy: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split, split.where("comp <> main")
 
 
+def remaining_pairs(split: DataFrame, outside: DataFrame, small: DataFrame, percent: int, bands: int, cell: int) -> DataFrame:
+    """The (id, id2) of different components under one key, ``id`` of ``outside``, that the bitmaps do not rule out.
+
+    A pair is given under the first key that both have. Under a key of few pairs they are joined; a key of more is cut
+    into cells, its rows of ``outside`` and all its rows each in pieces of about ``cell``, and each cell is one product
+    of bit matrices.
+    """
+    rare, often = crowded(split, outside, cell)
+    wide = small.select("id", "n", "bits", "a", "b")
+    ours = split.select("key", "id", "comp").join(wide, "id")
+    own = outside.select("key", "i", "j", "id", "comp").join(wide, "id")
+
+    names = {c: f"{c}2" for c in ("id", "comp", "n", "bits", "a", "b")}
+    once = (first_equal("a", "a2", bands) == F.col("i")) & (first_equal("b", "b2", bands) == F.col("j"))
+    few = own.join(rare, "key", "left_semi").withColumnRenamed("key", "k")
+    met = ours.withColumnsRenamed(names)
+    few = few.join(met, (F.col("k") == F.col("key")) & (F.col("comp") != F.col("comp2")) & once & may_link(percent))
+
+    mine, all_rows = F.pmod(F.xxhash64("id"), F.col("own_pieces")), F.pmod(F.xxhash64("id"), F.col("pieces"))
+    left = own.join(often, "key").withColumn("x", mine).withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+    right = ours.join(often, "key").withColumn("y", all_rows).withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("own_pieces") - 1)))
+    left = left.select("key", "x", "y", "i", "j", "id", "comp", "n", "bits", "a", "b")
+    right = right.select(*(F.col(c).alias(f"{c}2") for c in ("key", "x", "y", "id", "comp", "n", "bits", "a", "b")))
+
+    def values(table: pa.Table, name: str) -> np.ndarray:
+        return table.column(name).to_numpy()
+
+    def lists(table: pa.Table, name: str) -> np.ndarray:
+        return table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+
+    def bitmaps(table: pa.Table) -> np.ndarray:
+        return np.unpackbits(np.ascontiguousarray(lists(table, "bits")).view(np.uint8), axis=1).astype(np.float32)
+
+    def compare(one: pa.Table, two: pa.Table) -> pa.Table:
+        if not one.num_rows or not two.num_rows:
+            return PAIRS.empty_table()
+        two = two.rename_columns([name.removesuffix("2") for name in two.column_names])
+        bits, bits2 = bitmaps(one), bitmaps(two)
+        n, n2 = values(one, "n")[:, None], values(two, "n")[None, :]
+        common = bits @ bits2.T
+        most = np.minimum(n - bits.sum(1)[:, None] + common, n2 - bits2.sum(1)[None, :] + common)
+        x, y = np.nonzero(((100 + percent) * most >= percent * (n + n2)) & (values(one, "comp")[:, None] != values(two, "comp")[None, :]))
+        for name, place in (("a", "i"), ("b", "j")):
+            equal = lists(one, name)[x] == lists(two, name)[y]
+            first = equal.any(1) & (equal.argmax(1) == values(one, place)[x])
+            x, y = x[first], y[first]
+        return pa.Table.from_arrays([pa.array(values(one, "id")[x]), pa.array(values(two, "id")[y])], schema=PAIRS)
+
+    many = left.groupBy("key", "x", "y").cogroup(right.groupBy("key2", "x2", "y2")).applyInArrow(compare, "id long, id2 long")
+    return few.select("id", "id2").unionByName(many)
+
+
+def crowded(split: DataFrame, outside: DataFrame, cell: int) -> tuple[DataFrame, DataFrame]:
+    """The keys of few pairs, and those of more with their numbers of pieces."""
+    sizes = split.groupBy("key").agg(F.count("*").alias("all"))
+    sizes = materialize(sizes.join(outside.groupBy("key").agg(F.count("*").alias("own")), "key"), "sizes")
+    few = F.col("all") * F.col("own") <= cell * 16
+    pieces = [F.ceil(F.col(c) / cell).cast("long").alias(name) for c, name in (("own", "own_pieces"), ("all", "pieces"))]
+    return sizes.where(few).select("key"), sizes.where(~few).select("key", *pieces)
+
+
 def near_duplicates(
     docs: DataFrame,
     text: str = "text",
@@ -178,6 +240,7 @@ def near_duplicates(
     percent: int = 80,
     bands: int = 10,
     rows: int = 3,
+    cell: int = 1024,
 ) -> DataFrame:
     """``docs`` with ``n_shingles``, ``component_id`` (smallest id reachable by links) and ``kept`` (it is its own).
 
@@ -186,7 +249,8 @@ def near_duplicates(
     with the key's most connected member, then, if not yet in the component of most of the key, with a random member
     of it, and last with every member of another component whose bitmap does not rule the link out. So pairs within
     a component are never listed, links between components are all tried, and a group of near copies costs work in
-    proportion to its size.
+    proportion to its size. Texts that share a key but no link (pages of one template) are compared in cells of at most
+    about ``cell`` x ``cell``; of their pairs only those leave a cell that the bitmaps do not rule out.
 
     Null ids stay outside: no component, kept. Null, empty and blank texts have no shingles and are linked with
     nothing. Rows of one id are one node; each text of it can link. Columns named like the new ones are replaced.
@@ -220,13 +284,8 @@ def near_duplicates(
     edges = edges.unionByName(links(outside.join(pivots, "key"), "links2"))
 
     split, outside = rivals(busy, edges)
-    own = outside.select("key", "i", "j", "id", "comp").join(small, "id")
-    ours = split.select("key", F.col("id").alias("id2"), F.col("comp").alias("comp2"))
-    theirs = small.select(F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("bits").alias("bits2"), F.col("a").alias("a2"), F.col("b").alias("b2"))
-    once = (first_equal("a", "a2", bands) == F.col("i")) & (first_equal("b", "b2", bands) == F.col("j"))
-    own, ours = own.withColumnRenamed("key", "k"), ours.join(theirs, "id2")
-    rest = own.join(ours, (F.col("k") == F.col("key")) & (F.col("comp") != F.col("comp2")) & once & may_link(percent))
-    pairs = rest.select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")).distinct()
+    pairs = remaining_pairs(split, outside, small, percent, bands, cell)
+    pairs = pairs.select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")).distinct()
     last = materialize(confirmed(materialize(pairs, "possible"), texts, size, percent), "links3")
     found = components(edges.unionByName(last).unionByName(copies), "id", "id2")
 
