@@ -66,7 +66,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_order", "log_perplexity"]
+    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_order", "log_perplexity", "log_words"]
     return perplexity.judge(docs, keep_text=False).select("doc_id", *made)
 
 

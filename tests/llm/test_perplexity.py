@@ -72,6 +72,46 @@ def test_model_against_brute_force(spark, size):
     assert np.allclose(np.array(got).T, brute(texts, size), rtol=1e-5, atol=1e-4)
 
 
+@pytest.mark.parametrize("block", [40, 1 << 21])
+def test_every_word_and_pair_counts_without_the_text_itself(spark, monkeypatch, block):
+    """log10 probability of each text from the counts of all other texts, however small the vocabulary is."""
+    monkeypatch.setattr(perplexity, "BLOCK", block)
+    texts = some_texts() + ["only here", "w1", None]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: r for r in perplexity.judge(docs, vocabulary=5).collect()}
+    lines = [["#", *words(t, lower=False), "#"] for t in texts]
+    kinds = len({w for x in lines for w in x})
+    for i, x in enumerate(lines):
+        others = [y for j, y in enumerate(lines) if j != i]
+        single = Counter(w for y in others for w in y[1:])
+        pairs = Counter(p for y in others for p in zip(y, y[1:]))
+        tokens = sum(single.values())
+        want = 0.0
+        for a, b in zip(x, x[1:]):
+            alone = (single[b] + 1) / (tokens + kinds + 1)
+            want += math.log10((pairs[a, b] + perplexity.PRIOR * alone) / (single[a] + perplexity.PRIOR))
+        assert got[i].log_words == pytest.approx(-want / (len(x) - 1), rel=1e-9)
+
+
+def test_a_text_of_rare_words_out_of_order_is_rejected(spark):
+    """The capped model takes rare words for one entry, so only the counts of all pairs tell their order."""
+    rng = random.Random(7)
+    phrases = [" ".join(f"rare{k}x{i}" for i in range(20)) for k in range(200)]
+    frequent = " ".join(f"w{i}" for i in range(10))
+
+    def prose():
+        return " ".join(f"{frequent} {rng.choice(phrases)}" for _ in range(rng.randint(6, 12)))
+
+    rows = [(i, "en", prose()) for i in range(400)]
+    for k in range(20):
+        parts = [rng.sample(prose().split()[10:30], 20) for _ in range(8)]
+        rows.append((1000 + k, "en", " ".join(f"{frequent} {' '.join(p)}" for p in parts)))
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = perplexity.judge(docs, vocabulary=10).collect()
+    assert not any(r.kept for r in got if r.doc_id >= 1000)
+    assert sum(r.kept for r in got if r.doc_id < 1000 and not r.base_failed) >= 0.99 * sum(not r.base_failed for r in got if r.doc_id < 1000)
+
+
 def test_broken_texts_fall_out(spark):
     """Texts of misspelt words, texts of one frequent pair of words, and most shuffled ones, in two languages."""
     rng = random.Random(5)
