@@ -158,10 +158,9 @@ def first_equal(x: str, y: str, bands: int) -> Column:
     return found
 
 
-def rivals(busy: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``busy`` under keys that still hold several components, with ``comp``; and those outside the key's
-    largest component."""
-    found = components(edges, "id", "id2")
+def rivals(busy: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``busy`` under keys that still hold several components of ``found``, with ``comp``; and those outside the
+    key's largest component."""
     labelled = busy.join(found, "id", "left").withColumn("comp", F.coalesce("component_id", "id")).drop("component_id")
     labelled = materialize(labelled, "labelled")
     sizes = labelled.groupBy("key", "comp").agg(F.count("*").alias("c"))
@@ -275,19 +274,24 @@ def near_duplicates(
         possible = listed.join(bitmap, "id").join(bitmap2, "id2").where(may_link(percent)).select("id", "id2")
         return materialize(confirmed(materialize(possible, "possible"), texts, size, percent), name)
 
+    def joined_by(found: DataFrame, more: DataFrame) -> DataFrame:
+        """The components when further links are known: those before count as links to their smallest id."""
+        stars = found.select("id", F.col("component_id").alias("id2"))
+        return components(stars.unionByName(more), "id", "id2")
+
     known_by = busy.groupBy("id").agg(F.sum("n_in").alias("met"))
     pivots = busy.join(known_by, "id").groupBy("key").agg(F.max_by("id", F.struct("met", -F.col("id"))).alias("id2"))
-    edges = links(busy.join(pivots, "key"), "links1")
+    found = components(links(busy.join(pivots, "key"), "links1"), "id", "id2")
 
-    split, outside = rivals(busy, edges)
+    split, outside = rivals(busy, found)
     pivots = split.where("comp = main").groupBy("key").agg(F.min_by("id", F.xxhash64("key", "id")).alias("id2"))
-    edges = edges.unionByName(links(outside.join(pivots, "key"), "links2"))
+    found = joined_by(found, links(outside.join(pivots, "key"), "links2"))
 
-    split, outside = rivals(busy, edges)
+    split, outside = rivals(busy, found)
     pairs = remaining_pairs(split, outside, small, percent, bands, cell)
     pairs = pairs.select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")).distinct()
     last = materialize(confirmed(materialize(pairs, "possible"), texts, size, percent), "links3")
-    found = components(edges.unionByName(last).unionByName(copies), "id", "id2")
+    found = joined_by(found, last.unionByName(copies))
 
     there, back = carried(docs, ("n_shingles", "component_id", "kept"))
     sizes = signed.select("id", "row", "n_shingles").distinct()
