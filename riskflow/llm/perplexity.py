@@ -11,12 +11,15 @@ search, for all texts of a chunk at once. Words are compared by 64-bit hashes.
 
 A third perplexity has no vocabulary: every word and every pair of neighbours counts by itself, as often as it stands in
 all other texts. Blocks of texts send their distinct words and pairs to the partitions of their hashes, which add them
-up and send the sums back, so nothing is broadcast and no count is left out.
+up and send the sums back, so nothing is broadcast and no count is left out. The hashes go in ``SLICES`` ranges one after
+the other, as differences of sorted values by byte planes, and the files of a range go before the next: so the disk
+holds a part of all keys at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.llm.words import Words, carried, chunks_of, hash_words, mix, positions_of, texts_as_bytes, top_counts
-from riskflow.session import materialize
+from riskflow.session import discard, materialize, shuffles_released
 
 #: keys that a task gathers before it counts them and hands the counts on
 HELD = 1 << 22
@@ -39,12 +42,33 @@ MOST_REPEATED = 50
 PRIOR = 100.0
 #: tokens of a block of texts, and about as many keys of a partition of counts
 BLOCK = 1 << 21
+#: ranges of hashes that are counted, and parts of the blocks that are scored, one after the other
+SLICES = 4
 #: stands for the border of a text among the hashes of words
 BORDER = np.uint64(0x5851F42D4C957F2D)
 
 COUNTS = pa.schema([("key", pa.int64()), ("n", pa.int64())])
 
 
+def pressed(values: np.ndarray) -> bytes:
+    """Integers by byte planes, so that the bytes most of them lack cost little."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.Codec("zstd").compress(planes, asbytes=True)
+
+
+def unpressed(raw: bytes, kind: type) -> np.ndarray:
+    """The integers of ``pressed``, which were of ``kind``."""
+    size, width = int.from_bytes(raw[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.Codec("zstd").decompress(raw[8:], size, asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).ravel()
+
+
+def apart(hashes: np.ndarray) -> np.ndarray:
+    """Differences of neighbours, the first from 0 and all modulo 2**64; a cumulative sum undoes it."""
+    with np.errstate(over="ignore"):
+        return np.diff(hashes, prepend=np.uint64(0))
+
+
 def counted(df: DataFrame, text: str, keys_of) -> DataFrame:
     """(key, n): how often each 64-bit key of ``keys_of(texts)`` occurs, counted in tasks before the shuffle."""
 
@@ -139,15 +163,17 @@ def fit(docs: DataFrame, text: str = "text", vocabulary: int = 4096) -> Model:
     words = materialize(counted(docs, text, lambda texts: hash_words(texts, lower=False).hashes), "words")
     frequent = np.sort(np.asarray(top_counts(words, vocabulary).select("key").toArrow().column("key")).view(np.uint64))
     others = max(1, words.count() - len(frequent))
+    discard(words)
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    pairs = counted(docs, text, lambda texts: pair_keys(shared.value, hash_words(texts, lower=False))[0])
 
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw = [pa.array([np.asarray(b.column(i)).astype(t).tobytes()]) for i, t in ((0, np.int64), (1, np.int64))]
             yield pa.RecordBatch.from_arrays(raw, names=["keys", "counts"])
 
-    found = pairs.mapInArrow(packed, "keys binary, counts binary").collect()
+    with shuffles_released(docs.sparkSession):
+        pairs = counted(docs, text, lambda texts: pair_keys(shared.value, hash_words(texts, lower=False))[0])
+        found = pairs.mapInArrow(packed, "keys binary, counts binary").collect()
     keys, counts = (np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r[i], np.int64) for r in found)]) for i in (0, 1))
     order = np.argsort(keys)
     return estimate(frequent, keys[order], counts[order])._replace(spelled=float(np.log10(others)))
@@ -194,8 +220,8 @@ def features(texts: list[bytes], words: Words, model: Model) -> list[pa.Array]:
 def with_blocks(docs: DataFrame, text: str, model) -> DataFrame:
     """``docs`` under numbered names with the features, ``block`` and ``place``, and a row with the words of each block.
 
-    A block's row has no place. ``words`` are its distinct words, the border among them, ``ids`` the places in these of
-    all its tokens, ``lengths`` the tokens of its texts, each of which ends with a border.
+    A block's row has no place. ``words`` are its distinct words, the most frequent first and the border among them,
+    ``ids`` the places in these of all its tokens, ``lengths`` the tokens of its texts, each of which ends with a border.
     """
     there, _ = carried(docs, OWN)
     fields = [f for f in docs.select(*there).schema.fields]
@@ -209,8 +235,11 @@ def with_blocks(docs: DataFrame, text: str, model) -> DataFrame:
         block, kinds, held, lengths = TaskContext.get().partitionId() << 32, None, [], []
 
         def whole() -> pa.RecordBatch:
-            words, ids = np.unique(np.concatenate(held), return_inverse=True)
-            raw = [x.tobytes() for x in (words, ids.astype(np.int32), np.concatenate(lengths))]
+            words, ids, n = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+            order = np.argsort(-n, kind="stable")
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order))
+            raw = [pressed(x) for x in (apart(words[order]), rank[ids], np.concatenate(lengths))]
             own = [pa.array([block]), pa.nulls(1, pa.int64()), *(pa.array([x]) for x in raw)]
             return pa.RecordBatch.from_arrays([*(pa.nulls(1, k) for k in kinds), *own], names=inner.names)
 
@@ -236,35 +265,37 @@ def with_blocks(docs: DataFrame, text: str, model) -> DataFrame:
 
 
 class Tokens(NamedTuple):
-    """The tokens of a block: words and pairs with their hashes, and where each token has its own."""
+    """The tokens of a block: the hash of each token, and of the pair that it ends."""
 
-    keys: tuple[np.ndarray, np.ndarray]  # hashes of the distinct words, of the distinct pairs
-    at: tuple[np.ndarray, np.ndarray]  # places in these of each token and of the pair it ends
+    hashes: tuple[np.ndarray, np.ndarray]
     lengths: np.ndarray
 
     @classmethod
     def of(cls, words: bytes, ids: bytes, lengths: bytes) -> Tokens:
-        known, right, n = np.frombuffer(words, np.uint64), np.frombuffer(ids, np.int32).astype(np.int64), np.frombuffer(lengths, np.int32)
+        known = np.cumsum(unpressed(words, np.uint64), dtype=np.uint64)
+        right = known[unpressed(ids, np.int32)]
         left = np.roll(right, 1)  # the border before a text is the one that ends the text before
-        pairs, at = np.unique(left * len(known) + right, return_inverse=True)
         with np.errstate(over="ignore"):
-            hashes = mix(known[pairs // len(known)] * np.uint64(0x9E3779B97F4A7C15) + known[pairs % len(known)])
-        return cls((known, hashes), (right, at), n)
-
-    def sent(self, parts: int) -> Iterator[tuple[int, int, np.ndarray]]:
-        """Kind, partition and places of the keys that go to it."""
-        for kind, keys in enumerate(self.keys):
-            part = (keys % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            starts = np.searchsorted(part[order], np.arange(parts + 1))
-            for p in np.flatnonzero(np.diff(starts)):
-                yield kind, int(p), order[starts[p] : starts[p + 1]]
+            return cls((right, mix(left * np.uint64(0x9E3779B97F4A7C15) + right)), unpressed(lengths, np.int32))
+
+    def sent(self, parts: int, part: int, end: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Kind, partition, keys and how often they stand here, for the partitions from ``part`` to before ``end``."""
+        for kind, hashes in enumerate(self.hashes):
+            to = part_of(hashes, parts)
+            keys, n = np.unique(hashes[(to >= part) & (to < end)], return_counts=True)
+            starts = np.searchsorted(part_of(keys, parts), np.arange(part, end + 1))
+            for k in np.flatnonzero(np.diff(starts)):
+                yield kind, part + int(k), keys[starts[k] : starts[k + 1]], n[starts[k] : starts[k + 1]]
 
     def log10(self, counts: list[np.ndarray], tokens: int, kinds: int) -> np.ndarray:
-        """log10 probability of each text, from how often its words and pairs stand in all other texts."""
+        """log10 probability of each text, from how often its words and pairs stand in all other texts.
+
+        ``counts`` has how often each distinct word, and each distinct pair, stands in all texts, in order of their hashes.
+        """
         owner = np.repeat(np.arange(len(self.lengths)), self.lengths)
         others = []
-        for at, n in zip(self.at, counts, strict=True):
+        for hashes, n in zip(self.hashes, counts, strict=True):
+            at = np.unique(hashes, return_inverse=True)[1]
             _, same, own = np.unique(owner * len(n) + at, return_inverse=True, return_counts=True)
             others.append(n[at] - own[same])
         right, pair = others
@@ -274,53 +305,68 @@ class Tokens(NamedTuple):
         return np.bincount(owner, np.log10((pair + PRIOR * single) / (left + PRIOR)), len(self.lengths))
 
 
+def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """The partition of each hash: ``parts`` ranges of equal size."""
+    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
 def log_words(blocks: DataFrame, tokens: int) -> DataFrame:
     """(block, place, log_words): log10 probability of each text under the counts of all words and pairs.
 
     The share of a pair among those of its left word is mixed with the share of its right word among all tokens, which is
     one more than its count; a text's own tokens are left out of all counts. ``blocks`` are the rows with words.
     """
-    parts = 1 + 2 * tokens // BLOCK
+    each = 1 + 2 * tokens // BLOCK // SLICES  # partitions of a slice
+    parts = each * SLICES
     sent = "kind int, part long, block long, keys binary, n binary"
 
-    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in range(b.num_rows):
-                block, *raw = (c[r].as_py() for c in b.columns)
-                own = Tokens.of(*raw)
-                times = [np.bincount(at, minlength=len(k)).astype(np.int32) for at, k in zip(own.at, own.keys)]
-                rows = [(k, p, block, own.keys[k][i].tobytes(), times[k][i].tobytes()) for k, p, i in own.sent(parts)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
-                    names=["kind", "part", "block", "keys", "n"],
-                )
+    def asker(part: int):
+        def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for r in range(b.num_rows):
+                    block, *raw = (c[r].as_py() for c in b.columns)
+                    rows = [(k, p, block, pressed(apart(x)), pressed(n.astype(np.int32))) for k, p, x, n in Tokens.of(*raw).sent(parts, part, part + each)]
+                    if rows:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
+                            names=["kind", "part", "block", "keys", "n"],
+                        )
+
+        return ask
 
     def add(table: pa.Table) -> pa.Table:
-        sizes = np.array([len(k) // 8 for k in table["keys"].to_pylist()])
-        keys, n = (np.concatenate([np.frombuffer(x, t) for x in table[c].to_pylist()]) for c, t in (("keys", np.uint64), ("n", np.int32)))
-        found, at = np.unique(keys, return_inverse=True)
+        keys = [np.cumsum(unpressed(x, np.uint64), dtype=np.uint64) for x in table["keys"].to_pylist()]
+        n = np.concatenate([unpressed(x, np.int32) for x in table["n"].to_pylist()])
+        found, at = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.bincount(at, n).astype(np.int64)[at]
-        cut = [x.tobytes() for x in np.split(sums, np.cumsum(sizes)[:-1])]
-        distinct = np.full(len(sizes), 0)
+        cut = [pressed(x) for x in np.split(sums, np.cumsum([len(k) for k in keys])[:-1])]
+        distinct = np.full(len(keys), 0)
         distinct[0] = len(found)
         return pa.table({"kind": table["kind"], "part": table["part"], "block": table["block"], "n": pa.array(cut, pa.binary()), "distinct": distinct})
 
-    asked = blocks.select("block", "words", "ids", "lengths").mapInArrow(ask, sent)
-    sums = materialize(asked.groupBy("kind", "part").applyInArrow(add, "kind int, part long, block long, n binary, distinct long"), "sums")
+    own = blocks.select("block", "words", "ids", "lengths")
+    added = []
+    for part in range(0, parts, each):
+        asked = own.mapInArrow(asker(part), sent)
+        added.append(materialize(asked.groupBy("kind", "part").applyInArrow(add, "kind int, part long, block long, n binary, distinct long"), "sums"))
+    sums = reduce(DataFrame.unionByName, added)
     kinds = sums.where("kind = 0").agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0]
 
     def score(own: pa.Table, given: pa.Table) -> pa.Table:
         block, words = own["block"][0].as_py(), Tokens.of(*(own[c][0].as_py() for c in ("words", "ids", "lengths")))
-        back = {(k, p): n for k, p, n in zip(*(given[c].to_pylist() for c in ("kind", "part", "n")))}
-        counts = [np.zeros(len(k), np.int64) for k in words.keys]
-        for k, p, i in words.sent(parts):
-            counts[k][i] = np.frombuffer(back[k, p], np.int64)
+        back = sorted(zip(*(given[c].to_pylist() for c in ("kind", "part", "n"))))
+        counts = [np.concatenate([unpressed(n, np.int64) for k, _, n in back if k == kind]) for kind in range(2)]
         found = words.log10(counts, tokens, kinds)
         return pa.table({"block": np.full(len(found), block), "place": np.arange(len(found)), "log_words": found})
 
-    own = blocks.select("block", "words", "ids", "lengths").groupBy("block")
-    scored = own.cogroup(sums.drop("distinct").groupBy("block")).applyInArrow(score, "block long, place long, log_words double")
-    return materialize(scored, "log_words")
+    scored = []
+    for k in range(SLICES):
+        here = F.pmod(F.xxhash64("block"), F.lit(SLICES)) == k
+        both = own.where(here).groupBy("block").cogroup(sums.where(here).drop("distinct").groupBy("block"))
+        scored.append(materialize(both.applyInArrow(score, "block long, place long, log_words double"), "log_words"))
+    for table in added:
+        discard(table)
+    return reduce(DataFrame.unionByName, scored)
 
 
 def base_failed() -> Column:

@@ -6,11 +6,12 @@ import random
 import time
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from riskflow import session
 from riskflow.llm import components as stars
-from riskflow.llm import minhash
+from riskflow.llm import minhash, perplexity
 
 
 def shuffle_bytes(spark) -> int:
@@ -83,3 +84,38 @@ def test_near_duplicates_start_from_the_components_before(spark, monkeypatch):
     found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
     assert found == {10 * k + j: 10 * k for k in range(30) for j in range(3)}
     assert len(rounds) <= 3 + 2
+
+
+def test_integers_by_byte_planes():
+    rng = np.random.default_rng(1)
+    hashes = np.sort(rng.integers(0, 1 << 63, 50_000).astype(np.uint64) * np.uint64(2))
+    raw = perplexity.pressed(perplexity.apart(hashes))
+    assert len(raw) < 0.9 * hashes.nbytes  # as random as they are
+    assert (np.cumsum(perplexity.unpressed(raw, np.uint64), dtype=np.uint64) == hashes).all()
+    shuffled = rng.permutation(hashes)
+    assert (np.cumsum(perplexity.unpressed(perplexity.pressed(perplexity.apart(shuffled)), np.uint64), dtype=np.uint64) == shuffled).all()
+    for kind in (np.int32, np.int64):
+        few = np.array([5, -3, 1 << 30], kind)
+        assert (perplexity.unpressed(perplexity.pressed(few), kind) == few).all()
+
+
+def test_counts_of_all_pairs_go_in_slices(spark, monkeypatch):
+    """The largest written or shuffled step holds a part of the keys: each table of sums about a quarter."""
+    sizes = []
+
+    def counted(df, name):
+        table = session.materialize(df, name)
+        if name == "sums":
+            sizes.append(table.groupBy("kind").agg(F.sum("distinct").alias("n")).orderBy("kind").collect())
+        return table
+
+    monkeypatch.setattr(perplexity, "materialize", counted)
+    rng = random.Random(2)
+    rows = [(i, " ".join(f"w{rng.randrange(2000)}" for _ in range(200)), "en") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    perplexity.judge(docs, vocabulary=50).collect()
+    assert len(sizes) == perplexity.SLICES
+    words, pairs = ([r[k].n for r in sizes] for k in range(2))
+    lines = [["#", *t.split(), "#"] for _, t, _ in rows]
+    assert sum(words) == len({w for x in lines for w in x}) and max(words) < 0.4 * sum(words)
+    assert sum(pairs) == len({p for x in lines for p in zip(x, x[1:])}) and max(pairs) < 0.3 * sum(pairs)
