@@ -23,9 +23,10 @@ from __future__ import annotations
 
 import json
 import os
-import re
+import string
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,24 +42,59 @@ SEGMENT_ARROW = pa.schema(
     [(n, pa.int64()) for n in ("part", "segment", "first", "n_ids")]
     + [("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("body", pa.binary())]
 )
-#: words whose ids a worker keeps, and the longest kept; when full they are forgotten and gathered anew
-KEPT_WORDS = 1_000_000
-KEPT_CHARS = 40
-
-# The tokenizer of byte-level BPE never joins a space to what stands before it where a visible character follows.
-_VISIBLE = "!-~À-ÖØ-öø-ɏΑ-ΡΣ-Ωα-ωА-яء-غ가-힣一-龥ぁ-んァ-ヶ"
-# Nor a letter to a mark behind it.
-_CUTS = re.compile(f"(?= [{_VISIBLE}])")
-_MARKS = ".,;:!?)]\"'"
-_IS_LETTER = frozenset(c for c in map(chr, range(0x24F)) if re.match("[A-Za-zÀ-ÖØ-öø-ɏ]", c))
-_IS_VISIBLE = frozenset(c for c in map(chr, range(1 << 16)) if re.match(f"[{_VISIBLE}]", c))
+#: pieces whose ids a worker keeps, the longest kept, and ids kept; when full, pieces not met again are forgotten
+KEPT_PIECES = 1_000_000
+KEPT_BYTES = 40
+KEPT_IDS = 8_000_000
+#: bytes of texts whose pieces are looked up together, and pieces that the library encodes at once
+TOGETHER = 1 << 22
+AT_ONCE = 1 << 13
+
+# What a byte is to the tokenizer of byte-level BPE. Of other than ASCII characters, only those are told whose first byte
+# is that of no white space, and letters of two bytes (U+0100 to U+023F; those of U+00C0 to U+00FF but two).
+_BYTES = np.arange(256)
+_VISIBLE, _LETTER, _MARK, _SPACE, _FEED, _LEADS_2, _LEADS_3, _LATIN = (np.uint8(1 << k) for k in range(8))
+_CLASS = np.zeros(256, np.uint8)
+for _kind, _those in (
+    (_VISIBLE, (_BYTES > 0x20) & (_BYTES < 0x7F)),
+    (_LETTER, np.isin(_BYTES, list(string.ascii_letters.encode()))),
+    (_MARK, np.isin(_BYTES, list(string.punctuation.encode()))),
+    (_SPACE, _BYTES == 0x20),
+    (_FEED, _BYTES == 0x0A),
+    (_LEADS_2, (_BYTES > 0xC2) & (_BYTES < 0xE0)),
+    (_LEADS_3, (_BYTES > 0xE3) & (_BYTES < 0xF0)),
+    (_LATIN, (_BYTES > 0xC3) & (_BYTES < 0xC9)),
+):
+    _CLASS[_those] |= _kind
+_STARTS = _VISIBLE | _LEADS_2 | _LEADS_3
+
+
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Flags the bytes of UTF-8 that no token of byte-level BPE joins to the one before, wherever that is easily told.
+
+    These are a space before a visible character, a mark behind a letter, a line feed behind a visible character, and a
+    visible character behind such a line feed alone.
+    """
+    kind = _CLASS[data]
+    starts, feed = kind & _STARTS != 0, kind & _FEED != 0
+    ends = kind & _VISIBLE != 0
+    ends[1:] |= kind[:-1] & _LEADS_2 != 0
+    ends[2:] |= kind[:-2] & _LEADS_3 != 0
+    letter = kind & _LETTER != 0
+    letter[1:] |= (kind[:-1] & _LATIN != 0) | ((data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7))
+    cut = np.zeros(len(data), bool)
+    cut[:-1] = (kind[:-1] & _SPACE != 0) & starts[1:]
+    cut[1:] |= (feed[1:] & ends[:-1]) | ((kind[1:] & _MARK != 0) & letter[:-1])
+    cut[2:] |= starts[2:] & feed[1:-1] & ends[:-2]
+    return cut
 
 
 class Encoder:
     """Ids of texts by a tokenizer of the tokenizers library, without special tokens.
 
-    For byte-level BPE, texts are cut where no token can reach across, each different word is encoded once by the
-    library, and its ids are kept; all other tokenizers get whole texts. Strings of special tokens are ordinary text.
+    For byte-level BPE, texts are cut where no token can reach across, each different piece is encoded once by the
+    library, and its ids are kept under a number; all other tokenizers get whole texts. Strings of special tokens are
+    ordinary text.
     """
 
     def __init__(self, vocabulary: str):
@@ -76,75 +112,82 @@ class Encoder:
         self.size = np.zeros(max(entries.values(), default=0) + 1, np.int64)
         for entry, i in entries.items():
             self.size[i] = len(entry)  # a character of an entry stands for a byte
-        self.words: dict[str, bytes] = {}  # ids of a space and the word
-        self.alone: dict[str, bytes] = {}  # ids of marks, and of first words of texts
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
-        """Ids of each word behind a space; marks behind its last letter are looked up apart."""
-        marked, plain = [], set()
-        for word in words:
-            stem = word.rstrip(_MARKS)
-            if stem != word and stem[-1:] in _IS_LETTER:
-                marked.append((word, stem, word[len(stem) :]))
-                if stem not in self.words:
-                    plain.add(stem)
-            else:
-                plain.add(word)
-        found = self._together(list(plain))
-        tails = self._alone({tail for *_, tail in marked})
-        for word, stem, tail in marked:
-            found[word] = (found[stem] if stem in found else self.words[stem]) + tails[tail]
-        return found
-
-    def _alone(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces as whole texts."""
-        new = [piece for piece in pieces if piece not in self.alone]
-        found = dict(zip(new, self._whole(new), strict=True))
-        self.alone.update((piece, raw) for piece, raw in found.items() if len(piece) <= KEPT_CHARS)
-        return {piece: found[piece] if piece in found else self.alone[piece] for piece in pieces}
-
-    def _together(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of each word behind a space, from one text of them all."""
-        if not words:
-            return {}
-        raw = self._whole([" " + " ".join(words)])[0]
-        ids = np.frombuffer(raw, self.kind)
-        ends = np.cumsum([len(word.encode()) + 1 for word in words])
-        upto = ((np.searchsorted(np.cumsum(self.size[ids]), ends) + 1) * ids.itemsize).tolist()
-        return {word: raw[a:b] for word, a, b in zip(words, [0, *upto], upto)}
+        self.pieces: dict[bytes, int] = {}  # their numbers
+        # number i has ids[ends[i] : ends[i + 1]], and number 0 has none
+        self.ids, self.ends, self.met = np.zeros(0, self.kind), np.zeros(2, np.int64), np.zeros(1, bool)
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.kind) for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``numbers``, and how many stand up to the end of each."""
+        starts = self.ends[numbers]
+        sizes = self.ends[numbers + 1] - starts
+        ends = np.cumsum(sizes)
+        return self.ids[np.repeat(starts - ends + sizes, sizes) + np.arange(sizes.sum())], ends
+
+    def _learn(self, pieces: pa.LargeBinaryArray) -> np.ndarray:
+        """Numbers of new pieces. Those of a space and a visible character stand in one text, the others by themselves."""
+        bounds = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+        kind, sizes = _CLASS[np.frombuffer(pieces.buffers()[2], np.uint8)], np.diff(bounds)
+        follow = (sizes > 1) & (kind[bounds[:-1]] == _SPACE)
+        follow[follow] = kind[bounds[:-1][follow] + 1] & _STARTS != 0
+        numbers, first = np.empty(len(pieces), np.int64), len(self.ends) - 1
+        ids, ends = [self.ids], [self.ends]
+        for together in (True, False):
+            own = np.flatnonzero(follow == together)
+            numbers[own] = np.arange(first, first + len(own))
+            first += len(own)
+            for a in range(0, len(own), AT_ONCE):
+                some = pieces.take(pa.array(own[a : a + AT_ONCE])).to_pylist()
+                if together:
+                    found = self._whole([b"".join(some).decode()])
+                    upto = np.searchsorted(np.cumsum(self.size[found[0]]), np.cumsum(sizes[own[a : a + AT_ONCE]])) + 1
+                else:
+                    found = self._whole([p.decode() for p in some])
+                    upto = np.cumsum([len(x) for x in found])
+                ends.append(upto + ends[-1][-1])
+                ids += found
+        self.ids, self.ends = np.concatenate(ids), np.concatenate(ends)
+        self.met = np.concatenate([self.met, np.zeros(len(pieces), bool)])
+        kept = np.flatnonzero(sizes <= KEPT_BYTES)
+        self.pieces.update(zip(pieces.take(pa.array(kept)).to_pylist(), numbers[kept].tolist(), strict=True))
+        return numbers
+
+    def _forget(self) -> None:
+        """Keep only pieces that were met again since the last time, and none if these are too many."""
+        kept = [p for p, i in self.pieces.items() if self.met[i]]
+        ids, ends = self._of(np.array([0, *(self.pieces[p] for p in kept)], np.int64))
+        if 2 * len(kept) > KEPT_PIECES or 2 * len(ids) > KEPT_IDS:
+            kept, ids, ends = [], ids[:0], ends[:1]
+        self.pieces = {p: i for i, p in enumerate(kept, 1)}
+        self.ids, self.ends, self.met = ids, np.concatenate([[0], ends]), np.zeros(len(ends), bool)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.cuts:
-            return [np.frombuffer(raw, self.kind) for raw in self._whole(texts)]
-        if len(self.words) + len(self.alone) > KEPT_WORDS:
-            self.words.clear()
-            self.alone.clear()
-        known, split, found, fresh = self.words.get, [], [], set()
-        for text in texts:
-            head, *words = text.split(" ")
-            ids = list(map(known, words))
-            if None in ids:
-                new = [w for w, i in zip(words, ids) if i is None]
-                if not all(w[:1] in _IS_VISIBLE for w in new):  # such a word belongs to the one before it
-                    head, *words = _CUTS.split(text)
-                    words = [w[1:] for w in words]
-                    ids = list(map(known, words))
-                    new = [w for w, i in zip(words, ids) if i is None]
-                fresh.update(new)
-            split.append((head, words))
-            found.append(ids)
-        learned = self._learn(fresh)
-        first = self._alone({head for head, _ in split})
-        out = []
-        for (head, words), ids in zip(split, found, strict=True):
-            if None in ids:
-                ids = [learned[w] if i is None else i for w, i in zip(words, ids)]
-            out.append(np.frombuffer(first[head] + b"".join(ids), self.kind))
-        self.words.update((w, i) for w, i in learned.items() if len(w) <= KEPT_CHARS)
-        return out
+        if not self.cuts or not texts:
+            return self._whole(texts)
+        raw = [text.encode() for text in texts]
+        joined = b"\n".join(raw) + b"\n"
+        last = np.cumsum([len(r) + 1 for r in raw]) - 1  # the line feed behind each text
+        cut = cuts(np.frombuffer(joined, np.uint8))
+        cut[last] = cut[0] = True
+        cut[last[:-1] + 1] = True
+        starts = np.flatnonzero(cut)
+        bounds = np.append(starts, len(joined)).astype(np.int64)
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(joined)]).dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.pieces.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(numbers < 0)
+        self.met[numbers[numbers >= 0]] = True
+        if len(new):
+            numbers[new] = self._learn(coded.dictionary.take(pa.array(new)))
+        numbers = numbers[coded.indices.to_numpy()]
+        behind = np.searchsorted(starts, last)
+        numbers[behind] = 0
+        ids, ends = self._of(numbers)
+        if len(self.pieces) > KEPT_PIECES or len(self.ids) > KEPT_IDS:
+            self._forget()
+        return np.split(ids, ends[behind[:-1]])
 
 
 _encoders: dict[int, Encoder] = {}
@@ -186,7 +229,7 @@ def write(
             row = [part, segment, first, held, docs_of, lengths, pack(np.concatenate(ids), percentile)]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, SEGMENT_ARROW, strict=True)], schema=SEGMENT_ARROW)
 
-        for rows, texts in chunks_of(batches, "t"):
+        for rows, texts in chunks_of(batches, "t", TOGETHER):
             for own, found in zip(rows.column(0).to_pylist(), encoder.encode([t.decode() for t in texts]), strict=True):
                 ids += [found.astype(np.uint32), closing]
                 docs_of.append(own)

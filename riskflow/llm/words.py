@@ -128,10 +128,10 @@ def in_chunks(sizes: Iterable[int], limit: int = CHUNK_BYTES) -> Iterator[tuple[
         yield start, i + 1
 
 
-def chunks_of(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def chunks_of(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Pieces of record batches with the texts of a binary column."""
     for batch in batches:
-        for a, b in in_chunks(pc.binary_length(batch.column(column)).to_pylist()):
+        for a, b in in_chunks(pc.binary_length(batch.column(column)).to_pylist(), limit):
             piece = batch.slice(a, b - a)
             yield piece, piece.column(column).to_pylist()
         del batch

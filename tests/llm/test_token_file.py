@@ -72,6 +72,44 @@ def test_pieces_give_the_ids_of_whole_texts():
         assert [found.tolist() for found in own.encode(texts[a : a + 200])] == want
 
 
+def test_words_marks_and_lines_are_encoded_once():
+    """The library gets each different word once, not each pair of words that a line feed joins or each mark behind a word."""
+    with open(PATH, encoding="utf-8") as lines:
+        own = token_file.Encoder(lines.read())
+    given, whole = [], own._whole
+    own._whole = lambda texts: given.extend(texts) or whole(texts)
+    words = [f"{a}{b}" for a in ("bra", "ño", "stre", "Kü") for b in ("ven", "lim", "too", "rß")]
+    texts = [f"{a} {b}%%%\n{a}.\n{b}\n\n{a}'s {b}'" for a in words for b in words]
+    want = [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
+    assert [found.tolist() for found in own.encode(texts)] == want
+    assert sum(map(len, given)) < sum(map(len, texts)) / 20
+    before = len(given)
+    assert [found.tolist() for found in own.encode(texts)] == want
+    assert len(given) == before
+
+
+def test_pieces_met_again_are_kept_when_others_are_forgotten(monkeypatch):
+    with open(PATH, encoding="utf-8") as lines:
+        own = token_file.Encoder(lines.read())
+    monkeypatch.setattr(token_file, "KEPT_PIECES", 1000)
+    plain = library()
+    for k in range(12):
+        text = " often again" + "".join(f" x{k}y{i}" for i in range(300)) + " " + "long" * 50
+        assert own.encode([text, "", text])[2].tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(own.pieces) <= 1000 and (k < 4 or own.pieces[b" again"] < 300)
+    assert len(own.ids) < 12 * 300
+
+
+@pytest.mark.parametrize("character", [*map(chr, [0x1C, 0x85, 0xA0, 0xAD, 0xD7, 0x301, 0x3A2, 0x61C, 0x1680, 0x180E, 0x2003, 0x2028, 0x202F, 0x3000, 0x4E2D, 0xFEFF, 0x1F600])])
+def test_cuts_beside_rare_characters(character):
+    with open(PATH, encoding="utf-8") as lines:
+        own = token_file.Encoder(lines.read())
+    around = ["", " ", "  ", "\n", "\n\n", "a", ".", "'s", "é", " \n", "\n "]
+    texts = [f"{a}{character}{b}{c}" for a in around for b in around for c in ("", "x", "\nx", " x")]
+    want = [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
+    assert [found.tolist() for found in own.encode(texts)] == want
+
+
 def test_other_tokenizers_get_whole_texts(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     with open(path, encoding="utf-8") as lines:
