@@ -13,7 +13,7 @@ A third perplexity has no vocabulary: every word and every pair of neighbours co
 all other texts. Blocks of texts send their distinct words and pairs to the partitions of their hashes, which add them
 up and send the sums back, so nothing is broadcast and no count is left out. The hashes go in ``SLICES`` ranges one after
 the other, as differences of sorted values by byte planes, and the files of a range go before the next: so the disk
-holds a part of all keys at a time.
+holds a part of all keys at a time. The broadcast model, a file of each executor, goes before them.
 """
 
 from __future__ import annotations
@@ -174,6 +174,7 @@ def fit(docs: DataFrame, text: str = "text", vocabulary: int = 4096) -> Model:
     with shuffles_released(docs.sparkSession):
         pairs = counted(docs, text, lambda texts: pair_keys(shared.value, hash_words(texts, lower=False))[0])
         found = pairs.mapInArrow(packed, "keys binary, counts binary").collect()
+    shared.destroy()
     keys, counts = (np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r[i], np.int64) for r in found)]) for i in (0, 1))
     order = np.argsort(keys)
     return estimate(frequent, keys[order], counts[order])._replace(spelled=float(np.log10(others)))
@@ -422,6 +423,7 @@ def judge(
         gone = [c for c in docs.columns if c.lower() not in OWN].index(text)
         made, back = made.drop(f"c{gone}"), back[:gone] + back[gone + 1 :]
     written = materialize(made, "perplexity")
+    model.destroy()  # driver and executors each hold it as a file
     texts = written.where("place IS NOT NULL").drop("words", "ids", "lengths")
     tokens = texts.agg(F.coalesce(F.sum(F.col("n_words") + 1), F.lit(0))).first()[0]
     exact = log_words(written.where("place IS NULL"), tokens)

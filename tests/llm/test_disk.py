@@ -119,3 +119,13 @@ def test_counts_of_all_pairs_go_in_slices(spark, monkeypatch):
     lines = [["#", *t.split(), "#"] for _, t, _ in rows]
     assert sum(words) == len({w for x in lines for w in x}) and max(words) < 0.4 * sum(words)
     assert sum(pairs) == len({p for x in lines for p in zip(x, x[1:])}) and max(pairs) < 0.3 * sum(pairs)
+
+
+def test_the_model_goes_before_all_words_are_counted(spark, monkeypatch):
+    """No broadcast of the capped model is left as a file when the exact counts begin to take disk."""
+    folder = Path(spark.sparkContext._temp_dir)
+    known, left, count = set(folder.iterdir()), [], perplexity.log_words
+    monkeypatch.setattr(perplexity, "log_words", lambda *given: left.append(set(folder.iterdir()) - known) or count(*given))
+    docs = spark.createDataFrame([(i, f"one two w{i} three " * 30, "en") for i in range(20)], "doc_id long, text string, lang string")
+    assert len(perplexity.judge(docs).collect()) == 20
+    assert left == [set()]
