@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm import bpe, line_dedup, minhash, mixing, quality
 from riskflow.llm.words import table
-from riskflow.session import materialize
+from riskflow.session import bound_batches, materialize
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -30,6 +30,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are scored as empty ones; rows with equal texts have equal scores, so they stay or go together;
     without a usable label every document scores 0.5 and stays; an empty table gives an empty one.
     """
+    bound_batches(spark)
     rows, back = _numbered(docs)
     return quality.score(rows, table(spark, sf_dir, "labels")).where("predicted = 1").select(*back)
 
@@ -40,6 +41,7 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     A null text becomes empty, and texts without a line stay. Of documents with equal lines the earlier keeps them; rows
     of equal id and text are one document. ``n_chars`` follows a text that has lost lines. An empty table gives an empty one.
     """
+    bound_batches(spark)
     rows, back = _numbered(docs)
     cut = line_dedup.dedup(rows)
     left = cut.where((F.col("n_lines") == 0) | (F.col("n_deleted") < F.col("n_lines")))
@@ -55,6 +57,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Texts without words (null, empty, blank) are linked with nothing and stay, as do rows without an id. Rows that
     repeat the kept id stay too. An empty table gives an empty one.
     """
+    bound_batches(spark)
     rows, back = _numbered(docs)
     return minhash.near_duplicates(rows, size=5).where("kept").select(*back)
 

@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskflow.llm.words import with_columns
+from riskflow.llm.words import held, let_go, with_columns
+from riskflow.session import bound_batches
 
 #: texts' pieces whose ids a task keeps; when full they are forgotten and gathered anew
 KEPT_PIECES = 300_000
@@ -163,17 +164,6 @@ class Encoder:
         return ids
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
-def _encoder(key: tuple, ranks: dict[bytes, int], pattern: str) -> Encoder:
-    """One encoder for all tasks of a worker process."""
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(ranks, pattern)
-    return _encoders[key]
-
-
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with a column of token ids (array of int); special tokens are ordinary text.
 
@@ -181,12 +171,13 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     piece of any length is encoded whole; repeated rows are encoded each. A column already named ``ids`` is replaced;
     all others are kept as they are.
     """
+    bound_batches(df.sparkSession)  # ids and texts go through two workers of each task
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(path))
     key = (path, pattern, uuid.uuid4().hex)
     new = T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
 
     def start():
-        one = _encoder(key, shared.value, pattern).encode
+        one = held(key, lambda: Encoder(shared.value, pattern)).encode  # one for all tasks of a worker process
 
         def make(texts: list[bytes]) -> list[pa.Array]:
             found = [one(t.decode("utf-8", "replace")) for t in texts]
@@ -195,7 +186,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
 
         return make
 
-    return with_columns(df, text, new, start)
+    return with_columns(df, text, new, start, holds=key)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -206,6 +197,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     out = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(kept)] + [T.StructField("bytes", T.BinaryType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         entry = shared.value.__getitem__
         for batch in batches:
             for a in range(0, batch.num_rows, 256):

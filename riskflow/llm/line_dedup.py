@@ -176,7 +176,7 @@ def sequences(docs: DataFrame, text: str, doc_id: str, noise: int, guarantee: in
         return make
 
     keyed = docs.select(*document_key(doc_id, text), F.col(f"`{text}`").alias("t"))
-    return with_columns(keyed, "t", new, start).drop("t")
+    return with_columns(keyed, "t", new, start, keep_text=False)
 
 
 def repeated_runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", noise: int = 25, guarantee: int = 50) -> DataFrame:

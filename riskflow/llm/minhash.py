@@ -92,7 +92,7 @@ def signatures(docs: DataFrame, text: str, size: int, bands: int, rows: int) ->
 
         return make
 
-    return with_columns(docs, text, SIGNATURE, start).drop(text)
+    return with_columns(docs, text, SIGNATURE, start, keep_text=False)
 
 
 def may_link(percent: int) -> Column:

@@ -199,7 +199,7 @@ def score(
 
     known = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("t"))
     held = crc_of(doc_id, folds) == 0
-    measured = materialize(with_columns(known, "t", new, start).drop("t").distinct(), "statistics")
+    measured = materialize(with_columns(known, "t", new, start, keep_text=False).distinct(), "statistics")
     taught = labels.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("y"))
     taught = taught.where(F.col("y").isin(0, 1) & (crc_of("id", folds) != 0))
     labelled = materialize(measured.join(taught, "id").select("__statistics", "y"), "labelled")

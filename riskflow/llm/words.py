@@ -7,7 +7,7 @@ text is a chunk by itself.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Hashable, Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -129,11 +129,14 @@ def in_chunks(sizes: Iterable[int], limit: int = CHUNK_BYTES) -> Iterator[tuple[
 
 
 def chunks_of(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Pieces of record batches with the texts of a binary column."""
+    """Pieces of record batches with the texts, as UTF-8, of a binary or string column; null is empty."""
     for batch in batches:
-        for a, b in in_chunks(pc.binary_length(batch.column(column)).to_pylist(), limit):
+        kind = pa.large_binary() if pa.types.is_large_string(batch.column(column).type) else pa.binary()
+        for a, b in in_chunks(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist(), limit):
             piece = batch.slice(a, b - a)
-            yield piece, piece.column(column).to_pylist()
+            texts = piece.column(column)
+            texts = texts.cast(kind) if pa.types.is_string(texts.type) or pa.types.is_large_string(texts.type) else texts
+            yield piece, [t or b"" for t in texts.to_pylist()]
         del batch
         pa.default_memory_pool().release_unused()  # an idle worker holds on to no batch
 
@@ -173,26 +176,56 @@ def carried(df: DataFrame, replaced: Iterable[str] = ()) -> tuple[list[Column],
     return [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], [F.col(f"c{i}").alias(c) for i, c in enumerate(kept)]
 
 
-def with_columns(df: DataFrame, text: str, new: T.StructType, start: Callable[[], Callable[..., list[pa.Array]]], beside: str | None = None) -> DataFrame:
+_held: dict[Hashable, object] = {}
+
+
+def held[T](key: Hashable, make: Callable[[], T]) -> T:
+    """What a worker process has made under a key, kept for its next tasks until ``let_go``."""
+    if key not in _held:
+        _held[key] = make()
+    return _held[key]
+
+
+def let_go(but: Hashable = None) -> None:
+    """Drop what tasks of other operators left in this worker process: Spark gives its workers to any task."""
+    others = [key for key in _held if key != but]
+    for key in others:
+        del _held[key]
+    if others:
+        pa.system_memory_pool().release_unused()
+
+
+def with_columns(
+    df: DataFrame,
+    text: str,
+    new: T.StructType,
+    start: Callable[[], Callable[..., list[pa.Array]]],
+    beside: str | None = None,
+    keep_text: bool = True,
+    holds: Hashable = None,
+) -> DataFrame:
     """``df`` with columns computed from the texts of column ``text`` in Arrow batches of about a quarter megabyte.
 
     ``start`` is called once per task and gives a function from texts (null as empty) to one array per new column.
-    With ``beside`` that function gets the values of this column as a second argument.
+    With ``beside`` that function gets the values of this column as a second argument. Without ``keep_text`` that column
+    is left out, so texts do not come back from the workers. ``holds`` is the key of what ``start`` keeps by ``held``.
     Old columns of the same names are replaced. Columns travel under numbered names, so names that differ only by
-    case or hold dots do no harm.
+    case or hold dots do no harm. A string column that is kept travels once, as text and as old column.
     """
-    names = {n.lower() for n in new.names}
+    names = {n.lower() for n in new.names} | (set() if keep_text else {text.lower()})
     kept = [f for f in df.schema.fields if f.name.lower() not in names]
     inner = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(kept)] + [T.StructField(f"n{i}", f.dataType) for i, f in enumerate(new.fields)])
     olds = [F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(kept)]
-    at = None if beside is None else [f.name for f in kept].index(beside)
-    plain = df.select(*olds, texts_as_bytes(F.col(f"`{text}`")).alias("t"))
+    width, at = len(kept), None if beside is None else [f.name for f in kept].index(beside)
+    own = next((f"c{i}" for i, f in enumerate(kept) if f.name == text and isinstance(f.dataType, T.StringType)), None)
+    plain = df.select(*olds) if own else df.select(*olds, texts_as_bytes(F.col(f"`{text}`")).alias("t"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(holds)
         make = start()
-        for rows, texts in chunks_of(batches, "t"):
+        for rows, texts in chunks_of(batches, own or "t"):
             more = [] if at is None else [rows.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], *make(texts, *more)], names=inner.names)
+            yield pa.RecordBatch.from_arrays([*rows.columns[:width], *make(texts, *more)], names=inner.names)
 
     made = plain.mapInArrow(run, inner)
     back = [F.col(f"c{i}").alias(f.name) for i, f in enumerate(kept)]
